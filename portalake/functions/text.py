@@ -8,6 +8,7 @@ from urllib.parse import quote, quote_plus
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Unicode white space plus the ASCII information separators.
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
@@ -26,7 +27,7 @@ def words(c: Column) -> Column:
     return F.filter(F.split(c, _SPACE), lambda w: w != "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(values: pd.Series) -> pd.Series:
     """Compose Unicode to NFC. Spark has no built-in for this; callers apply it to distinct
     values only."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from portalake.operators.merge import latest_by_key, replace_periods, RECENCY, with_row_id
 from portalake.schema import Table
 
-PERIOD = "period"
+PERIOD = "part_month"
 
 
 def with_period(rows: DataFrame, table: Table, period_param: str | None = None) -> DataFrame:
