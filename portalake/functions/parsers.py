@@ -1,6 +1,8 @@
 """One parser per column kind: raw text column -> typed column, NULL where unusable.
 
-All are plain column expressions and none can raise under ANSI mode.
+All are plain column expressions and none can raise under ANSI mode. Each names its input as
+few times as it can: a table has up to thirty of them in one projection, and every mention
+copies the whole expression below it.
 """
 
 from __future__ import annotations
@@ -10,9 +12,9 @@ from pyspark.sql import functions as F
 
 from portalake.functions.text import strip
 
+_DAY = "^(?!0000)[0-9]{8}$"
+_MONTH = "^(?!0000)[0-9]{4}(0[1-9]|1[0-2])$"
 _FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_INT = r"^[+-]?[0-9]+$"
-_ZERO_FRACTION = r"^([+-]?[0-9]+)\.0*$"
 # Whole doubles from here up no longer fit 64 bits.
 _LONG_LIMIT = 9223372036854775808.0
 
@@ -20,15 +22,13 @@ _LONG_LIMIT = 9223372036854775808.0
 def date_ymd(c: Column) -> Column:
     """``20240105`` -> ``2024-01-05``; anything but eight digits of a real date -> NULL."""
     x = strip(c)
-    day = F.when(x.rlike("^[0-9]{8}$") & ~x.startswith("0000"), F.try_to_date(x, "yyyyMMdd"))
-    return F.date_format(day, "yyyy-MM-dd")
+    return F.when(x.rlike(_DAY), F.try_to_date(x, "yyyyMMdd")).cast("string")
 
 
 def date_ym(c: Column) -> Column:
     """``202401`` or ``2024.01`` -> ``2024-01``; only the digits count."""
     x = F.regexp_replace(c, "[^0-9]", "")
-    good = x.rlike("^[0-9]{4}(0[1-9]|1[0-2])$") & ~x.startswith("0000")
-    return F.when(good, F.concat_ws("-", F.substring(x, 1, 4), F.substring(x, 5, 2)))
+    return F.when(x.rlike(_MONTH), F.overlay(x, F.lit("-"), 5, 0))
 
 
 def text(c: Column) -> Column:
@@ -41,27 +41,26 @@ def _number_text(c: Column) -> Column:
     return strip(F.replace(c, F.lit(","), F.lit("")))
 
 
-def _finite(x: Column) -> Column:
-    """Double value of a plain decimal or scientific number, NULL if it overflows."""
-    value = F.when(x.rlike(_FLOAT), x.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+def _double(x: Column) -> Column:
+    """A plain decimal or scientific number. The pattern keeps out what a cast would also
+    take, such as a hexadecimal number or a type suffix."""
+    return F.when(x.rlike(_FLOAT), x.try_cast("double"))
 
 
 def integer(c: Column) -> Column:
     """Exact whole number. ``1,234`` and ``1234.0`` are whole, ``3.8`` is NULL; scientific
     notation counts if its value is whole. Beyond 64 bits -> NULL."""
     x = _number_text(c)
-    whole = F.regexp_extract(x, _ZERO_FRACTION, 1)
-    value = _finite(x)
-    return (F.when(x.rlike(_INT), x.try_cast("bigint"))
-            .when(x.rlike(_ZERO_FRACTION), whole.try_cast("bigint"))
-            .when((value == F.floor(value)) & (F.abs(value) < _LONG_LIMIT),
-                  value.try_cast("bigint")))
+    value = _double(x)
+    return F.coalesce(
+        F.regexp_replace(x, r"\.0*$", "").try_cast("bigint"),
+        F.when((value % 1 == 0) & (F.abs(value) < _LONG_LIMIT), value.try_cast("bigint")))
 
 
 def ratio(c: Column) -> Column:
     """Finite double; commas dropped."""
-    return _finite(_number_text(c))
+    value = _double(_number_text(c))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 # Same reading as a ratio; a kind of its own so that schemas say what a column holds.
@@ -79,8 +78,7 @@ BY_KIND = {
 
 def whole_number(c: Column) -> Column:
     """Optional sign and digits, blanks around allowed, as BIGINT; anything else -> NULL."""
-    x = strip(c)
-    return F.when(x.rlike(_INT), x.try_cast("bigint"))
+    return strip(c).try_cast("bigint")
 
 
 def retry_after(c: Column) -> Column:

@@ -10,16 +10,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Unicode white space plus the ASCII information separators.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_SPACE = r"(?U)[\s\x1c-\x1f]+"
-_NEEDS_STRIP = r"(?U)^[\s\x1c-\x1f]|[\s\x1c-\x1f]$"
+# Fixed value: what counts as white space at the ends of a vendor value (Unicode white space
+# and the ASCII information separators).
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+               "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+_SPACE = f"[{WHITE_SPACE}]+"
 
 
 def strip(c: Column) -> Column:
-    """Drop white space, Unicode included, at both ends. Most values carry none, so the
-    rewrite runs only where a cheap anchored test finds some."""
-    return F.when(c.rlike(_NEEDS_STRIP), F.regexp_replace(c, _EDGE_SPACE, "")).otherwise(c)
+    """Drop white space, Unicode included, at both ends."""
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def words(c: Column) -> Column:

@@ -76,7 +76,8 @@ def _resolve(queries: DataFrame, query: str, look_up) -> DataFrame:
     distinct = queries.select(F.col(query).alias("_query")).where(
         F.col("_query").isNotNull()).distinct()
     resolved = look_up(distinct.withColumn("_text", nfc("_query")))
-    return queries.join(resolved, F.col(query) == F.col("_query"), "left").drop("_query")
+    return (queries.join(resolved, F.col(query) == F.col("_query"), "left").drop("_query")
+            .withColumn("status", F.coalesce("status", F.lit("none"))))
 
 
 def _outcome(found: Column, label) -> list[Column]:

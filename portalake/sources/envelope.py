@@ -28,11 +28,11 @@ _HEADER = "header STRUCT<resultCode: STRING, resultMsg: STRING>"
 _FAULT = "cmmMsgHeader STRUCT<errMsg: STRING, returnAuthMsg: STRING, returnReasonCode: STRING>"
 
 # Text up to the next bare token, whole strings skipped over.
-_OUTSIDE_STRINGS = r'\G((?:[^"{stop}]++|"(?:[^"\\]++|\\.)*+")*+)'
-_BARE_NUMBER = (_OUTSIDE_STRINGS.replace("{stop}", r"0-9\-")
+_OUTSIDE_STRINGS = r'\G((?:[^"STOP]++|"(?:[^"\\]++|\\.)*+")*+)'
+_BARE_NUMBER = (_OUTSIDE_STRINGS.replace("STOP", r"0-9\-")
                 + r"(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+\-]?[0-9]+)?)")
-_BARE_WORD = _OUTSIDE_STRINGS.replace("{stop}", "tfNI") + "(true|false|NaN|Infinity)"
-_WORDS = {"true": "True", "false": "False", "NaN": "nan", "Infinity": "inf"}
+# JSON literals and the text each stands for.
+_LITERALS = {"true": "True", "false": "False", "NaN": "nan", "Infinity": "inf"}
 
 _ROOT_TAG = (r"^\s*(?:<\?[^>]*\?>\s*|<!--[\s\S]*?-->\s*|<!DOCTYPE[^>\[]*>\s*)*"
              r"<([\w.:-]+)")
@@ -41,11 +41,12 @@ _ROOT_TAG = (r"^\s*(?:<\?[^>]*\?>\s*|<!--[\s\S]*?-->\s*|<!DOCTYPE[^>\[]*>\s*)*"
 def quote_bare_values(body: Column) -> Column:
     """Put JSON numbers and literals in quotes. Spark's JSON reader re-renders bare numbers
     (``1.10`` -> ``1.1``); as strings they keep the vendor's digits."""
-    for word, text in _WORDS.items():
-        # These are rare in vendor bodies: look before rewriting.
-        pattern = _BARE_WORD.replace("true|false|NaN|Infinity", word).replace("tfNI", word[0])
-        body = F.when(F.contains(body, F.lit(word)),
-                      F.regexp_replace(body, pattern, f'$1"{text}"')).otherwise(body)
+    worded = body
+    for literal, text in _LITERALS.items():
+        pattern = _OUTSIDE_STRINGS.replace("STOP", literal[0]) + f"({literal})"
+        worded = F.regexp_replace(worded, pattern, f'$1"{text}"')
+    # Literals are rare in vendor bodies: look before rewriting.
+    body = F.when(body.rlike("|".join(_LITERALS)), worded).otherwise(body)
     return F.regexp_replace(body, _BARE_NUMBER, '$1"$2"')
 
 
@@ -60,17 +61,12 @@ def _json_schema(items: str) -> str:
             f"OpenAPI_ServiceResponse: STRUCT<{_FAULT.replace(' ', ': ', 1)}>>>")
 
 
-def _rows_of_text(items: Column, row_type: str) -> Column:
-    """Rows of an ``items`` sub-document that is not the usual list of objects: one object,
-    an empty marker, or a bare list. NULL when it is none of these."""
-    item = F.when(items.startswith("{"), F.from_json(items, "item STRING", _JSON_OPTIONS)["item"]
-                  ).otherwise(items)
-    rows_type = f"ARRAY<{row_type}>"
-    none = F.array().cast(rows_type)
-    # A blank marker before anything else; {} alone is no row, but a list may hold {}.
-    return (F.when(item.isNull() | (strip(item) == "") | (item == "{}"), none)
-            .when(item.startswith("{"), F.from_json(_in_array(item), rows_type, _JSON_OPTIONS))
-            .when(item.startswith("["), F.from_json(item, rows_type, _JSON_OPTIONS)))
+def _leaf(tag: str, content: str = "[^<]*") -> str:
+    """Pattern of an element that holds no other element."""
+    return rf"<{tag}(\s[^>]*)?(/>|>{content}</{tag}\s*>)"
+
+
+_BARE_ROOT = "|".join(_leaf(root) + r"\s*$" for root in ("response", "OpenAPI_ServiceResponse"))
 
 
 def parse_pages(captures: DataFrame, table: Table | None = None,
@@ -84,118 +80,144 @@ def parse_pages(captures: DataFrame, table: Table | None = None,
     Output: the lineage columns, ``service``, ``operation``, ``num_of_rows``, ``status``
     (ok, no_data, auth, rate_limited, response_error, network, malformed), ``code``,
     ``message``, ``retry_after``, ``total``, ``n`` and ``items``.
+
+    The steps are projections of their own, each naming the one before it by column: Spark
+    then parses a body once, however many columns are taken from it.
     """
     row_type = (table.item_type if table else RAW_ROW).simpleString()
+    df = _decode(captures)
+    df = _read_json(df, row_type)
+    df = _read_xml(df, row_type)
+    df = _envelope(df, row_type, table)
+    return _pages(df, secret)
+
+
+def _decode(df: DataFrame) -> DataFrame:
     text = F.col("body").cast("string")
     http = st.http_status_class(F.col("http_status"))
-    readable = http.isNull() & F.is_valid_utf8(text)
-    plain = F.regexp_replace(text, "^﻿", "")
+    return (df.withColumn("_http", http)
+            .withColumn("_text", F.when(F.col("_http").isNull() & F.is_valid_utf8(text),
+                                        F.regexp_replace(text, "^\ufeff", ""))))
+
 
-    # Each step is its own projection, so that Spark evaluates each parse once.
-    df = captures.withColumn("_text", F.when(readable, plain))
+def _read_json(df: DataFrame, row_type: str) -> DataFrame:
+    """``_json``: the envelope of a JSON body, NULL if it is none. ``_item``: the text of an
+    items element that the typed reading could not take as a list of objects."""
     df = df.withColumn("_quoted", F.when(F.col("fmt") == "json", quote_bare_values(F.col("_text"))))
-    df = df.withColumn("_json", F.from_json(
+    df = df.withColumn("_parsed", F.from_json(
         _in_array(F.col("_quoted")), _json_schema(f"STRUCT<item: ARRAY<{row_type}>>"), _JSON_OPTIONS))
-    df = df.withColumn("_json", F.when(F.size("_json") == 1, F.col("_json")[0]))
-    # XML bodies, and JSON-mode bodies that are not JSON: gateway faults arrive as XML.
-    df = df.withColumn("_xml", F.from_xml(
+    df = df.withColumn("_json", F.when(F.size("_parsed") == 1, F.col("_parsed")[0]))
+    response = F.col("_json")["response"]
+    irregular = ((st.result_code(response["header"]["resultCode"]) == st.OK)
+                 & response["body"]["items"]["item"].isNull())
+    df = df.withColumn("_items", F.when(irregular, F.from_json(
+        _in_array(F.col("_quoted")), _json_schema("STRING"), _JSON_OPTIONS)[0]["response"]["body"]["items"]))
+    return df.withColumn("_item", F.when(
+        F.col("_items").startswith("{"), F.from_json("_items", "item STRING", _JSON_OPTIONS)["item"]
+    ).otherwise(F.col("_items")))
+
+
+def _read_xml(df: DataFrame, row_type: str) -> DataFrame:
+    """``_xml``: the envelope of an XML body, or of a JSON-mode body that is not JSON, since
+    gateway faults arrive as XML."""
+    return df.withColumn("_xml", F.from_xml(
         F.when(F.col("_json").isNull(), F.col("_text")),
         f"{_HEADER}, body STRUCT<items: STRUCT<item: ARRAY<{row_type}>>, totalCount: STRING>, "
         f"{_FAULT}, _bad STRING", _XML_OPTIONS))
-    df = df.withColumn("_env", F.when(F.col("_json").isNotNull(), _json_envelope(row_type))
-                       .when(F.col("_xml").isNotNull(), _xml_envelope(row_type)))
-    return _page_columns(df, http, secret)
-
-
-def _envelope(**parts: Column) -> Column:
-    return F.struct(*[c.alias(name) for name, c in parts.items()])
-
-
-def _json_envelope(row_type: str) -> Column:
-    j = F.col("_json")
-    fault, response = j["OpenAPI_ServiceResponse"], j["response"]
-    items = response["body"]["items"]["item"]
-    quoted_items = F.from_json(_in_array(F.col("_quoted")), _json_schema("STRING"),
-                               _JSON_OPTIONS)[0]["response"]["body"]["items"]
-    # The typed parse yields a list for the usual page; anything else is read again as text.
-    return _envelope(
-        kind=F.when(fault.isNotNull(), "fault").when(response.isNotNull(), "response"),
-        code=F.coalesce(fault["cmmMsgHeader"]["returnReasonCode"], response["header"]["resultCode"]),
-        msg=response["header"]["resultMsg"],
-        auth_msg=fault["cmmMsgHeader"]["returnAuthMsg"],
-        err_msg=fault["cmmMsgHeader"]["errMsg"],
-        total=response["body"]["totalCount"],
-        items=F.coalesce(items, F.when(
-            st.result_code(response["header"]["resultCode"]) == st.OK,
-            _rows_of_text(quoted_items, row_type))),
-    )
 
 
-def _xml_envelope(row_type: str) -> Column:
-    x, text = F.col("_xml"), F.col("_text")
-    root = F.regexp_extract(text, _ROOT_TAG, 1)
-    last_tag = F.substring_index(F.rtrim(strip(text)), "<", -1)
-    whole = x["_bad"].isNull() & (F.rtrim(last_tag).isin(
-        "/response>", "/OpenAPI_ServiceResponse>") | last_tag.rlike(r"^/?[\w.:-]+\s*/?>$|^!--|^\?"))
-    # A root or an items element that holds text only is no object.
-    bare_root = (x["header"].isNull() & x["body"].isNull()
-                 & text.rlike(r"<response(\s[^>]*)?(/>|>[^<]*</response\s*>\s*$)"))
-    item = x["body"]["items"]["item"]
+def _json_rows(row_type: str) -> Column:
+    """Rows of a JSON body; NULL where one of them is no object."""
+    item, rows_type = F.col("_item"), f"ARRAY<{row_type}>"
+    # A lone {} is no row, but a list may hold {}.
+    irregular = (F.when(item.isNull() | (strip(item) == "") | (item == "{}"), F.array().cast(rows_type))
+                 .when(item.startswith("{"), F.from_json(_in_array(item), rows_type, _JSON_OPTIONS))
+                 .when(item.startswith("["), F.from_json(item, rows_type, _JSON_OPTIONS)))
+    return F.coalesce(F.col("_json")["response"]["body"]["items"]["item"], irregular)
+
+
+def _xml_rows(row_type: str, table: Table | None) -> Column:
+    """Rows of an XML body; NULL where one of them is no object. The reader shows an element
+    that holds only text as empty, so where one came out empty the text is looked at."""
+    item, text = F.col("_xml")["body"]["items"]["item"], F.col("_text")
+
+    def empty(row: Column) -> Column:
+        return F.coalesce(*[row[t] for t in table.source_tokens]).isNull() if table else row.isNull()
+
     text_items = item.isNull() & text.rlike(r"<items(\s[^>]*)?>[^<]*[^<\s][^<]*</items\s*>")
+    leaf_item = F.exists(item, empty) & text.rlike(_leaf("item"))
+    blank_item = (F.size(item) == 1) & text.rlike(_leaf("item", r"\s*"))
     none = F.array().cast(f"ARRAY<{row_type}>")
-    return _envelope(
-        kind=(F.when(~whole, None)
-              .when((root == "OpenAPI_ServiceResponse") & ~text.rlike(
-                  r"<OpenAPI_ServiceResponse(\s[^>]*)?(/>|>[^<]*</OpenAPI_ServiceResponse\s*>\s*$)"),
-                  "fault")
-              .when((root == "response") & ~bare_root, "response")),
-        code=F.coalesce(x["cmmMsgHeader"]["returnReasonCode"], x["header"]["resultCode"]),
-        msg=x["header"]["resultMsg"],
-        auth_msg=x["cmmMsgHeader"]["returnAuthMsg"],
-        err_msg=x["cmmMsgHeader"]["errMsg"],
-        total=x["body"]["totalCount"],
-        items=(F.when(text_items, None)
-               .when(item.isNull() | ((F.size(item) == 1) & item[0].isNull()), none)
-               .otherwise(item)),
+    return (F.when(text_items, None).when(item.isNull(), none)
+            .when(leaf_item, F.when(blank_item, none)).otherwise(item))
+
+
+def _envelope(df: DataFrame, row_type: str, table: Table | None) -> DataFrame:
+    """The same few columns from either format."""
+    j, x, text = F.col("_json"), F.col("_xml"), F.col("_text")
+    is_json = j.isNotNull()
+    # The XML reader stops at the end of the root element; only comments may follow.
+    whole_xml = x["_bad"].isNull() & F.substring_index(strip(text), "<", -1).rlike(
+        r"^/?[\w.:-]+[^>]*>$|^[!?][^>]*>$")
+    bare_root = (x["header"].isNull() & x["body"].isNull() & x["cmmMsgHeader"].isNull()
+                 & text.rlike(_BARE_ROOT))
+    root = F.regexp_extract(text, _ROOT_TAG, 1)
+    xml_kind = (F.when(bare_root, None).when(root == "OpenAPI_ServiceResponse", "fault")
+                .when(root == "response", "response"))
+    json_kind = (F.when(j["OpenAPI_ServiceResponse"].isNotNull(), "fault")
+                 .when(j["response"].isNotNull(), "response"))
+    fault = F.coalesce(j["OpenAPI_ServiceResponse"]["cmmMsgHeader"], x["cmmMsgHeader"])
+    header = F.coalesce(j["response"]["header"], x["header"])
+    df = df.select(
+        *LINEAGE, "service", "operation", "num_of_rows", "http_status", "retry_after",
+        F.col("_http"), text.isNotNull().alias("_readable"),
+        (is_json | F.coalesce(whole_xml, F.lit(False))).alias("_whole"),
+        F.when(is_json, json_kind).when(whole_xml, xml_kind).alias("_kind"),
+        fault.alias("_fault"), header.alias("_header"),
+        F.when(is_json, j["response"]["body"]["totalCount"]).otherwise(x["body"]["totalCount"]).alias("_total"),
+        F.when(is_json, _json_rows(row_type)).when(x.isNotNull(), _xml_rows(row_type, table)).alias("_rows"),
     )
+    kind = F.col("_kind")
+    return df.withColumn("_code", F.when(kind == "fault", F.col("_fault")["returnReasonCode"])
+                         .when(kind == "response", F.col("_header")["resultCode"]))
 
 
-def _page_columns(df: DataFrame, http: Column, secret: str | None) -> DataFrame:
-    e = F.col("_env")
-    code = st.result_code(e["code"])
-    is_fault, is_response = e["kind"] == "fault", e["kind"] == "response"
-    broken_row = e["items"].isNull() | F.exists(e["items"], lambda r: r.isNull())
+def _pages(df: DataFrame, secret: str | None) -> DataFrame:
+    kind, http, rows, code = F.col("_kind"), F.col("_http"), F.col("_rows"), F.col("_significant")
+    bad_rows = rows.isNull() | F.exists(rows, lambda r: r.isNull())
     status = (F.when(http.isNotNull(), http)
-              .when(is_fault, st.fault_class(code))
-              .when(is_response & (code == st.OK) & broken_row, "malformed")
-              .when(is_response, st.result_status(code))
+              .when(kind == "fault", st.fault_class(code))
+              .when((kind == "response") & (code == st.OK) & bad_rows, "malformed")
+              .when(kind == "response", st.result_status(code))
               .otherwise("malformed"))
-    fault_msg = F.coalesce(F.nullif(e["auth_msg"], F.lit("")), F.nullif(e["err_msg"], F.lit("")),
-                           F.lit(""))
-    fault_text = redact(strip(fault_msg), secret)
-    reason = (F.when(F.col("_text").isNull(), "undecodable body")
-              .when(is_response, "a row is not an object")
-              .when(F.col("_env").isNull(), "neither JSON nor XML")
+    df = df.withColumn("_significant", st.result_code(F.col("_code"))).withColumn("_status", status)
+
+    status, fault = F.col("_status"), F.col("_fault")
+    said = F.coalesce(F.nullif(fault["returnAuthMsg"], F.lit("")),
+                      F.nullif(fault["errMsg"], F.lit("")), F.lit(""))
+    fault_message = F.coalesce(F.nullif(redact(strip(said), secret), F.lit("")),
+                               F.concat(F.lit("portal fault for "), F.col("operation")))
+    reason = (F.when(~F.col("_readable"), "undecodable body")
+              .when(~F.col("_whole"), "neither JSON nor XML")
+              .when(kind == "response", "a row is not an object")
               .otherwise("unexpected response shape"))
     message = (F.when(http.isNotNull(), F.concat(F.lit("HTTP "), F.col("http_status")))
-               .when(is_fault, F.when(fault_text != "", fault_text).otherwise(
-                   F.concat(F.lit("portal fault for "), F.col("operation"))))
-               .when(F.col("_status") == "malformed", reason)
-               .when(~F.col("_status").isin("ok", "no_data"),
-                     redact(strip(F.coalesce(e["msg"], F.lit(""))), secret)))
-    raw_code = (F.when(http.isNotNull(), F.col("http_status").cast("string"))
-                .when(e["kind"].isNotNull(), F.coalesce(strip(e["code"]), F.lit("?"))))
-    ok = F.col("_status") == "ok"
-    return df.withColumn("_status", status).select(
-        *LINEAGE, "service", "operation", "num_of_rows",
-        F.col("_status").alias("status"),
-        raw_code.alias("code"),
-        message.alias("message"),
+               .when(kind == "fault", fault_message)
+               .when(status == "malformed", reason)
+               .when(~status.isin("ok", "no_data"),
+                     redact(strip(F.coalesce(F.col("_header")["resultMsg"], F.lit(""))), secret)))
+    code = (F.when(http.isNotNull(), F.col("http_status").cast("string"))
+            .when(kind.isNotNull(), F.coalesce(strip(F.col("_code")), F.lit("?"))))
+    ok = status == "ok"
+    page = F.struct(
+        status.alias("status"), code.alias("code"), message.alias("message"),
         F.when(F.col("http_status") == 429, retry_after(F.col("retry_after"))).alias("retry_after"),
-        F.when(ok, whole_number(e["total"])).when(F.col("_status") == "no_data", 0).alias("total"),
-        F.when(ok, F.size(e["items"])).otherwise(0).alias("n"),
-        F.when(ok, e["items"]).alias("items"),
-    )
+        F.when(ok, whole_number(F.col("_total"))).when(status == "no_data", 0).alias("total"),
+        F.when(ok, F.size(rows)).otherwise(0).alias("n"),
+        F.when(ok, rows).alias("items"))
+    # Taken out of a one-element array: Spark does not move later filters on these columns
+    # below a generator, where each would repeat the parsing above.
+    return df.select(*LINEAGE, "service", "operation", "num_of_rows", F.inline_outer(F.array(page)))
 
 
 def stage_pages(pages: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
