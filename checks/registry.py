@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portalake import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -15,7 +17,7 @@ SQL: dict[str, str] = {}
 def add(name: str, run: Query, sql: str) -> None:
     if name in QUERIES:
         raise ValueError(f"query {name} registered twice")
-    QUERIES[name] = run
+    QUERIES[name] = lambda spark, sf_dir: run(tune(spark), sf_dir)
     SQL[name] = sql
 
 

@@ -1,12 +1,15 @@
 """One parser per column kind: raw text column -> typed column, NULL where unusable.
 
-All are plain column expressions and none can raise under ANSI mode. Each names its input as
-few times as it can: a table has up to thirty of them in one projection, and every mention
-copies the whole expression below it.
+All are plain column expressions and none can raise under ANSI mode. A parser has two steps,
+tidying the text and reading it. Reading names its input several times, so a wide projection
+does the two steps in two projections and tidies each value once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,54 +18,74 @@ from portalake.functions.text import strip
 _DAY = "^(?!0000)[0-9]{8}$"
 _MONTH = "^(?!0000)[0-9]{4}(0[1-9]|1[0-2])$"
 _FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_INT = r"^[+-]?[0-9]+$"
+_ZERO_FRACTION = r"^[+-]?[0-9]+\.0*$"
 # Whole doubles from here up no longer fit 64 bits.
 _LONG_LIMIT = 9223372036854775808.0
 
 
-def date_ymd(c: Column) -> Column:
-    """``20240105`` -> ``2024-01-05``; anything but eight digits of a real date -> NULL."""
-    x = strip(c)
-    return F.when(x.rlike(_DAY), F.try_to_date(x, "yyyyMMdd")).cast("string")
-
+@dataclass(frozen=True)
+class Parser:
+    tidy: Callable[[Column], Column]
+    read: Callable[[Column], Column]
 
-def date_ym(c: Column) -> Column:
-    """``202401`` or ``2024.01`` -> ``2024-01``; only the digits count."""
-    x = F.regexp_replace(c, "[^0-9]", "")
-    return F.when(x.rlike(_MONTH), F.overlay(x, F.lit("-"), 5, 0))
+    def __call__(self, c: Column) -> Column:
+        return self.read(self.tidy(c))
 
 
-def text(c: Column) -> Column:
-    """Stripped text; blank, ``nan`` and ``None`` are missing."""
-    x = strip(c)
-    return F.when(~x.isin("", "nan", "None"), x)
+def _digits(c: Column) -> Column:
+    return F.regexp_replace(c, "[^0-9]", "")
 
 
 def _number_text(c: Column) -> Column:
     return strip(F.replace(c, F.lit(","), F.lit("")))
 
 
+def _read_day(x: Column) -> Column:
+    # A cast from ISO text checks the calendar faster than a format pattern does.
+    iso = F.overlay(F.overlay(x, F.lit("-"), 7, 0), F.lit("-"), 5, 0)
+    return F.when(x.rlike(_DAY), iso.try_cast("date").cast("string"))
+
+
+def _read_month(x: Column) -> Column:
+    return F.when(x.rlike(_MONTH), F.overlay(x, F.lit("-"), 5, 0))
+
+
+def _read_text(x: Column) -> Column:
+    return F.when(~x.isin("", "nan", "None"), x)
+
+
 def _double(x: Column) -> Column:
-    """A plain decimal or scientific number. The pattern keeps out what a cast would also
-    take, such as a hexadecimal number or a type suffix."""
-    return F.when(x.rlike(_FLOAT), x.try_cast("double"))
+    # The pattern keeps out what a cast would also take, such as a hexadecimal number or a
+    # type suffix.
+    return F.when(x.rlike(_FLOAT), x.cast("double"))
 
 
-def integer(c: Column) -> Column:
-    """Exact whole number. ``1,234`` and ``1234.0`` are whole, ``3.8`` is NULL; scientific
-    notation counts if its value is whole. Beyond 64 bits -> NULL."""
-    x = _number_text(c)
+def _read_integer(x: Column) -> Column:
     value = _double(x)
-    return F.coalesce(
-        F.regexp_replace(x, r"\.0*$", "").try_cast("bigint"),
-        F.when((value % 1 == 0) & (F.abs(value) < _LONG_LIMIT), value.try_cast("bigint")))
+    # A try_cast that fails costs an exception, so patterns sort the values first; the usual
+    # ones stop at the first line.
+    return (F.when(x.rlike(_INT), x.try_cast("bigint"))
+            .when(x.rlike(_ZERO_FRACTION), F.substring_index(x, ".", 1).try_cast("bigint"))
+            .when((value % 1 == 0) & (F.abs(value) < _LONG_LIMIT), value.cast("bigint")))
 
 
-def ratio(c: Column) -> Column:
-    """Finite double; commas dropped."""
-    value = _double(_number_text(c))
+def _read_ratio(x: Column) -> Column:
+    value = _double(x)
     return F.when(F.abs(value) < float("inf"), value)
 
 
+# ``20240105`` -> ``2024-01-05``; anything but eight digits of a real date -> NULL.
+date_ymd = Parser(strip, _read_day)
+# ``202401`` or ``2024.01`` -> ``2024-01``; only the digits count.
+date_ym = Parser(_digits, _read_month)
+# Stripped text; blank, ``nan`` and ``None`` are missing.
+text = Parser(strip, _read_text)
+# Exact whole number: ``1,234`` and ``1234.0`` are whole, ``3.8`` is NULL; scientific notation
+# counts if its value is whole. Beyond 64 bits -> NULL.
+integer = Parser(_number_text, _read_integer)
+# Finite double; commas dropped.
+ratio = Parser(_number_text, _read_ratio)
 # Same reading as a ratio; a kind of its own so that schemas say what a column holds.
 decimal = ratio
 
@@ -78,7 +101,8 @@ BY_KIND = {
 
 def whole_number(c: Column) -> Column:
     """Optional sign and digits, blanks around allowed, as BIGINT; anything else -> NULL."""
-    return strip(c).try_cast("bigint")
+    x = strip(c)
+    return F.when(x.rlike(_INT), x.try_cast("bigint"))
 
 
 def retry_after(c: Column) -> Column:
@@ -88,8 +112,10 @@ def retry_after(c: Column) -> Column:
 
 
 def deal_date(raw: Column) -> Column:
-    """``yyyyMMdd`` from the separate year, month and day tokens of a contract row; NULL if
-    one is missing or not a number, or if the year has fewer than four digits."""
-    year, month, day = (whole_number(raw[t]) for t in ("dealYear", "dealMonth", "dealDay"))
-    in_range = year.between(1000, 9999) & month.between(1, 12) & day.between(1, 31)
-    return F.when(in_range, (year * 10000 + month * 100 + day).cast("string"))
+    """``yyyyMMdd`` from the separate year, month and day tokens of a contract row. Where one
+    is missing or not a number, or the year has fewer than four digits, the text that comes
+    out is no date and is dropped by the date parser."""
+    parts = F.concat_ws("|", *[strip(raw[t]) for t in ("dealYear", "dealMonth", "dealDay")])
+    two_digits = F.regexp_replace(parts, r"\|(?=[0-9](\||$))", "|0")
+    return F.regexp_replace(
+        two_digits, r"^\+?0*([1-9][0-9]{3})\|\+?0*([0-9]{2})\|\+?0*([0-9]{2})$", "$1$2$3")

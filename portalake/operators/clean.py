@@ -11,19 +11,23 @@ from portalake.functions.parsers import BY_KIND
 from portalake.schema import Field, Table
 
 
-def _value(field: Field, table: Table, raw: Column) -> Column:
+def _source(field: Field, table: Table, raw: Column) -> Column:
     derive = table.derived.get(field.token)
-    source = derive(raw) if derive else raw[field.token]
-    return BY_KIND[field.kind](source)
+    return derive(raw) if derive else raw[field.token]
+
+
+def _typed(field: Field) -> Column:
+    value = BY_KIND[field.kind].read(F.col(f"_{field.column}"))
+    return value.alias(field.column, metadata=field.struct_field.metadata)
 
 
 def project(rows: DataFrame, table: Table, keep: tuple[str, ...] = (),
             raw: str = "raw") -> DataFrame:
     """Rename and type the declared tokens, in declared order; other tokens are dropped.
     ``keep`` names lineage columns to carry along."""
-    typed = [_value(f, table, F.col(raw)).alias(f.column, metadata=f.struct_field.metadata)
-             for f in table.fields]
-    return rows.select(*keep, *typed)
+    tidy = [BY_KIND[f.kind].tidy(_source(f, table, F.col(raw))).alias(f"_{f.column}")
+            for f in table.fields]
+    return rows.select(*keep, *tidy).select(*keep, *[_typed(f) for f in table.fields])
 
 
 def _all_present(table: Table) -> Column:
