@@ -10,6 +10,10 @@ from portalake.schema import Table
 PAGE_ROWS, FETCH_ROWS = 20, 200     # ten full pages per fetch
 
 
+def _sent(raw: Column) -> Column:
+    return F.filter(F.map_entries(raw), lambda e: e["value"].isNotNull())
+
+
 def json_item(raw: Column) -> Column:
     """A vendor row as a JSON object; values that look like numbers go in bare."""
     def render(k: Column, v: Column) -> Column:
@@ -18,7 +22,7 @@ def json_item(raw: Column) -> Column:
         quoted = F.regexp_replace(F.to_json(F.array(v)), r"^\[|\]$", "")
         return F.concat(F.lit('"'), k, F.lit('": '), F.when(bare, v).otherwise(quoted))
 
-    pairs = F.transform(F.map_entries(raw), lambda e: render(e["key"], e["value"]))
+    pairs = F.transform(_sent(raw), lambda e: render(e["key"], e["value"]))
     return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
 
 
@@ -29,7 +33,7 @@ def xml_item(raw: Column) -> Column:
         value = F.regexp_replace(value, r"[\x00-\x08\x0b-\x1f]", "")
         return F.concat(F.lit("<"), e["key"], F.lit(">"), value, F.lit("</"), e["key"], F.lit(">"))
 
-    parts = F.transform(F.map_entries(raw), element)
+    parts = F.transform(_sent(raw), element)
     return F.concat(F.lit("<item>"), F.array_join(parts, ""), F.lit("</item>"))
 
 

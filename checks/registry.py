@@ -33,5 +33,5 @@ def raw_from(df: DataFrame, key: str | None = None, **tokens: str) -> DataFrame:
     """Rows with the given SQL expressions as vendor tokens; NULL means not sent. ``key``
     names an SQL expression kept as ``k``."""
     pairs = [c for token, sql in tokens.items() for c in (F.lit(token), F.expr(sql).cast("string"))]
-    raw = F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull()).alias("raw")
+    raw = F.create_map(*pairs).alias("raw")
     return df.select(raw) if key is None else df.select(F.expr(key).alias("k"), raw)

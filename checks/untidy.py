@@ -128,10 +128,11 @@ def _tokens(table: Table, source: Source) -> list[Column]:
 
 def vendor_rows(spark: SparkSession, sf_dir: str, table: Table, source: Source) -> DataFrame:
     """The whole source table as vendor rows (``raw`` MAP) of ``table``."""
-    raw = F.map_filter(F.create_map(*_tokens(table, source)), lambda k, v: v.isNotNull())
+    # A NULL value reads like a token that was not sent.
+    raw = F.create_map(*_tokens(table, source))
     # Vendor rows come out of a page's array; so do these.
-    return read(spark, sf_dir, source.table).select(
-        F.expr(source.key).alias("k"), F.explode(F.array(raw)).alias("raw"))
+    rows = read(spark, sf_dir, source.table).select(F.expr(source.key).alias("k"), raw.alias("raw"))
+    return rows.select("k", F.explode(F.array("raw")).alias("raw"))
 
 
 def _sql_columns(table: Table, source: Source) -> str:

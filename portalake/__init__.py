@@ -1,5 +1,7 @@
 """Landed public-data API responses as typed Spark tables."""
 
+from types import ModuleType
+
 from portalake.functions.announcements import latest_announcement
 from portalake.functions.grid import grid_cell
 from portalake.operators.audit import complete_only, page_audit, refused
@@ -17,4 +19,5 @@ from portalake.sources.captures import CAPTURE_SCHEMA, read_bodies, read_capture
 from portalake.sources.envelope import parse_pages, raw_rows, stage_pages
 from portalake.tables import TABLES, table
 
-__all__ = [n for n in dir() if not n.startswith("_")]
+__all__ = [name for name, value in list(globals().items())
+           if not name.startswith("_") and not isinstance(value, ModuleType)]

@@ -217,7 +217,8 @@ def _pages(df: DataFrame, secret: str | None) -> DataFrame:
         F.when(ok, rows).alias("items"))
     # Taken out of a one-element array: Spark does not move later filters on these columns
     # below a generator, where each would repeat the parsing above.
-    return df.select(*LINEAGE, "service", "operation", "num_of_rows", F.inline_outer(F.array(page)))
+    df = df.withColumn("_page", page)
+    return df.select(*LINEAGE, "service", "operation", "num_of_rows", F.inline_outer(F.array("_page")))
 
 
 def stage_pages(pages: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
