@@ -55,24 +55,21 @@ def _read_text(x: Column) -> Column:
     return F.when(~x.isin("", "nan", "None"), x)
 
 
-def _double(x: Column) -> Column:
-    # The pattern keeps out what a cast would also take, such as a hexadecimal number or a
-    # type suffix.
-    return F.when(x.rlike(_FLOAT), x.cast("double"))
-
-
 def _read_integer(x: Column) -> Column:
-    value = _double(x)
+    value = x.try_cast("double")
+    whole = (value % 1 == 0) & (F.abs(value) < _LONG_LIMIT)
     # A try_cast that fails costs an exception, so patterns sort the values first; the usual
     # ones stop at the first line.
     return (F.when(x.rlike(_INT), x.try_cast("bigint"))
             .when(x.rlike(_ZERO_FRACTION), F.substring_index(x, ".", 1).try_cast("bigint"))
-            .when((value % 1 == 0) & (F.abs(value) < _LONG_LIMIT), value.cast("bigint")))
+            .when(x.rlike(_FLOAT) & whole, value.try_cast("bigint")))
 
 
 def _read_ratio(x: Column) -> Column:
-    value = _double(x)
-    return F.when(F.abs(value) < float("inf"), value)
+    # The pattern keeps out what a cast would also take, such as a hexadecimal number or a
+    # type suffix.
+    value = x.try_cast("double")
+    return F.when(x.rlike(_FLOAT) & (F.abs(value) < float("inf")), value)
 
 
 # ``20240105`` -> ``2024-01-05``; anything but eight digits of a real date -> NULL.

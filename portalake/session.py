@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -17,3 +17,12 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Rows that a job needs more than once, computed once: written to the checkpoint folder
+    the cluster names in ``spark.checkpoint.dir``, where they outlive a lost executor. With no
+    such folder the rows are computed each time."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        return df
+    return df.checkpoint()

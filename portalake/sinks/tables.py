@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from portalake.operators.merge import latest_by_key, replace_periods, RECENCY, with_row_id
 from portalake.schema import Table
+from portalake.session import settle
 
 PERIOD = "part_month"
 
@@ -49,7 +50,7 @@ def upsert_table(incoming: DataFrame, path: str, table: Table,
     at the scan."""
     if table.wide or not table.key_columns:
         raise ValueError(f"{table.full_name} has no natural key: use replace_table")
-    incoming = with_period(incoming, table)
+    incoming = settle(with_period(incoming, table))
     touched = incoming.select(PERIOD).distinct()
     stored = read_table(incoming, path).join(touched, PERIOD, "left_semi")
     merged = latest_by_key(stored.unionByName(incoming), table.key_columns, recency)
@@ -64,6 +65,7 @@ def replace_table(incoming: DataFrame, path: str, table: Table, period_param: st
     incoming = with_row_id(with_period(incoming, table, period_param))
     if not slices:
         return write_table(incoming, path)
+    incoming = settle(incoming)
     touched = incoming.select(PERIOD).distinct()
     stored = read_table(incoming, path).join(touched, PERIOD, "left_semi")
     write_table(replace_periods(stored, incoming, [PERIOD, *slices]), path)

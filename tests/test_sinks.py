@@ -108,6 +108,20 @@ def test_stream_upserts(spark, folder):
     assert [r.net_asset_total for r in spark.read.parquet(folder + "/t").collect()] == [5]
 
 
+def test_settled_rows_survive_in_the_checkpoint_folder(spark, folder):
+    from portalake import settle
+    df = spark.range(5)
+    if spark.sparkContext.getCheckpointDir() is None:
+        assert settle(df) is df
+        spark.sparkContext.setCheckpointDir(folder)
+    assert settle(df).count() == 5
+    assert "Scan ExistingRDD" in settle(df)._jdf.queryExecution().executedPlan().toString()
+    t = table("kofia.fund_net_asset")
+    rows = _captures(spark, _capture("a", [_fund("20250105", "주식", 1)]))
+    upsert_table(typed_rows(rows, t.full_name, keep=KEEP), folder + "/t", t)
+    assert spark.read.parquet(folder + "/t").count() == 1
+
+
 def test_filter_arguments(spark):
     df = spark.createDataFrame([], table("weather.forecast").schema)
     with pytest.raises(ValueError):
