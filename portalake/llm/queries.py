@@ -26,4 +26,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import query_bpe, query_compression, query_langid, query_quality, query_urls  # noqa: E402,F401
+from . import (query_attribution, query_bpe, query_compression, query_contamination, query_langid,  # noqa: E402,F401
+               query_quality, query_substring, query_urls)
