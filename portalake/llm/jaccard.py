@@ -252,28 +252,64 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SENT_ROWS else df
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of a set's tokens in as many cells as it has tokens, rounded up to a power of 2."""
+    cells = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    at = (mix(tokens + _M1) & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
+def differ(a: bytes, b: bytes) -> int:
+    """Tokens in which two sets differ, at least: each changes one cell's parity."""
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        half = len(a) // 2
+        a = (int.from_bytes(a[:half]) ^ int.from_bytes(a[half:])).to_bytes(half)
+    return (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
+
+
+def _held(docs: DataFrame) -> DataFrame:
+    """``doc_id, n, sketch, text``."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler()
+        for batch in batches:
+            sets = [shingles(t) for t in string_column(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                                              pa.array([sketch(s) for s in sets], pa.binary()), batch.column(1)], names=["doc_id", "n", "sketch", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sketch binary, text string")
+
+
 def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of which the texts in ``held`` (doc_id, n, text) link. Sizes are compared
-    before texts move."""
-    sizes = held.select("doc_id", "n")
-    close = (pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-             .where((4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb"))).select("a", "b"))
-    both = (close.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
+    """The pairs ``a, b`` of which the texts in ``held`` (doc_id, n, sketch, text) link.
+
+    Texts move only for pairs that sizes and sketches, a bit for each token, can't rule out.
+    """
+    def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [7 * differ(x, y) <= m + n for m, n, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             met: dict[str, set] = {}
             keep = []
             for x, y in zip(string_column(batch, "text_a"), string_column(batch, "text_b"), strict=True):
+                if len(met) > 200:
+                    met.clear()
                 for t in (x, y):
                     if t not in met:
-                        if len(met) > 200:
-                            met.clear()
                         met[t] = exact(t)
-                keep.append(linked(met.get(x) or exact(x), met.get(y) or exact(y)))
+                keep.append(linked(met[x], met[y]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    brief = held.select("doc_id", "n", "sketch")
+    close = (pairs.join(brief.toDF("a", "na", "sa"), "a").join(brief.toDF("b", "nb", "sb"), "b")
+             .where(4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")).select("a", "b", "na", "nb", "sa", "sb"))
+    close = settle(close.mapInArrow(near, "a long, b long"), "close")
+    both = (close.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+            .join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
     return settle(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct(), "links")
 
 
@@ -370,15 +406,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     pairs = settle(_pairs(shared), "pairs")
     short = settle(_short(sets.join(ids, "doc_id", "left_anti"), shared), "short")
     wanted = settle(pairs.select("a").union(pairs.select("b")).union(short).distinct().toDF("doc_id"), "wanted")
-    size = sets.groupBy("doc_id").agg(F.max("n").alias("n"))
-    held = settle(own.join(_small(wanted, wanted.count()), "doc_id").join(size.join(wanted, "doc_id"), "doc_id").select("doc_id", "n", "text"), "held")
+    held = settle(_held(own.join(_small(wanted, wanted.count()), "doc_id")), "held")
     links = verify(pairs, held)
 
     left = held.join(short, "doc_id", "left_semi")
     shared = _shared(_index(left, token_keys), "tokens")
     links = links.unionByName(verify(_pairs(shared), held))
     lost = shared.where("crowded").groupBy("id").agg(F.count("*").alias("k")).withColumnRenamed("id", "doc_id")
-    crowd = settle(left.join(lost, "doc_id").where(F.col("k") >= F.ceil(F.col("n") * 0.75)).select("doc_id", "n", "text"), "crowd")
+    crowd = settle(left.join(lost, "doc_id").where(F.col("k") >= F.ceil(F.col("n") * 0.75)).select("doc_id", "n", "sketch", "text"), "crowd")
     links = _contracted(crowd, settle(links, "links"))
 
     links = links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
