@@ -1,10 +1,11 @@
 """Substring de-duplication by hashing units of text.
 
-A text is cut into units (sentences, lines or paragraphs), each is normalised and hashed. For
-every digest the earliest occurrence, by document id and then by place, is kept; all later
-ones are repeats. Repeats that follow one another form a run, and runs of enough words are
-taken out; a short sentence that two texts share by chance stays. What was taken out is
-reported with its offsets in the original text.
+A text is cut into units (clauses, lines or paragraphs) and each is normalised. What is hashed
+is a unit, or, if it has too few words, the unit with as many of the next ones as it takes: a
+short clause that two texts share by chance is no repeat, and a passage is found wherever it
+stands in a line. For every digest the earliest occurrence, by document id and then by place,
+is kept; the units of all later ones are taken out. What was taken out is reported with its
+offsets in the original text.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import settle, string_column
 
 #: What stands between two units.
-BETWEEN = {"sentence": re.compile(r"(?<=[.!?])[ \t]+|\s*\n\s*"), "line": re.compile(r"\s*\n\s*"),
+BETWEEN = {"clause": re.compile(r"(?<=[.!?,;:])[ \t]+|\s*\n\s*"), "line": re.compile(r"\s*\n\s*"),
            "paragraph": re.compile(r"\s*\n[ \t]*\n\s*")}
 LAST = 2**63 - 1
 
@@ -43,33 +44,43 @@ def normal(unit: str) -> str:
     return " ".join(unit.lower().split())
 
 
-def removed_runs(found: list[tuple[int, int]], repeats: Iterable[int], text: str, least_words: int) -> list[tuple[int, int]]:
-    """First and last unit of each run of repeats that has enough words."""
-    runs, at = [], sorted(set(repeats))
-    k = 0
-    while k < len(at):
-        j = k
-        while j + 1 < len(at) and at[j + 1] == at[j] + 1:
-            j += 1
-        if sum(len(text[a:b].split()) for a, b in found[at[k]:at[j] + 1]) >= least_words:
-            runs.append((at[k], at[j]))
-        k = j + 1
-    return runs
+def windows(units: list[str], least_words: int) -> list[tuple[int, int]]:
+    """First and last unit of each window: from every unit on, as few as hold enough words. None
+    begins where the text has not enough left. ``units`` are normal."""
+    sizes, out, last, held = [u.count(" ") + 1 if u else 0 for u in units], [], -1, 0
+    for i in range(len(units)):
+        while held < least_words and last + 1 < len(units):
+            last += 1
+            held += sizes[last]
+        if held < least_words:
+            break
+        out.append((i, last))
+        held -= sizes[i]
+    return out
 
 
-def cut(text: str, repeats: Iterable[int], unit: str, least_words: int) -> tuple[str, list[tuple[int, int]], int, int]:
-    """The text without its runs of repeats, their offsets, the units and the units removed. A
-    removed run takes the white space after it along, at the end of the text that before it."""
+def normal_units(text: str, unit: str) -> tuple[list[tuple[int, int]], list[str]]:
     found = spans(text, unit)
-    runs = removed_runs(found, repeats, text, least_words)
-    parts, offsets, at, n = [], [], 0, 0
-    for a, b in runs:
-        n += b - a + 1
+    return found, [normal(text[a:b]) for a, b in found]
+
+
+def cut(text: str, repeats: Iterable[int], unit: str, least_words: int) -> tuple[str, list[tuple[int, int]], int, int]:
+    """The text without the windows that begin at the units ``repeats``, the offsets of what was
+    cut, the units and the units removed. A run that is cut takes the white space after it
+    along, at the end of the text that before it."""
+    found, units = normal_units(text, unit)
+    ends = dict(windows(units, least_words))
+    gone = np.zeros(len(found), bool)
+    for i in repeats:
+        gone[i:ends[i] + 1] = True
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
+    parts, offsets, at = [], [], 0
+    for a, b in zip(edges[::2].tolist(), (edges[1::2] - 1).tolist(), strict=True):
         offsets.append((found[a][0], found[b][1]))
         last = b + 1 == len(found)
         parts.append(text[at:found[a][0]].rstrip() if last else text[at:found[a][0]])
         at = len(text) if last else found[b + 1][0]
-    return "".join([*parts, text[at:]]), offsets, len(found), n
+    return "".join([*parts, text[at:]]), offsets, len(found), int(gone.sum())
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -79,8 +90,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("rank"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def repeats(docs: DataFrame, unit: str = "sentence", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``rank, text_key, places``: the units of each document that occurred before.
+def repeats(docs: DataFrame, unit: str = "clause", least_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``rank, text_key, places``: the units of each document at which a window begins that
+    occurred before.
 
     The first aggregation keeps one number for each digest and is summed up before the shuffle,
     so a line that a third of all documents hold sends one row from each task. Only digests met
@@ -93,8 +105,9 @@ def repeats(docs: DataFrame, unit: str = "sentence", id_col: str = "doc_id", tex
             row, place, high, low, first = [], [], [], [], []
             for i, text in enumerate(string_column(batch, "text")):
                 seen = set()
-                for k, (a, b) in enumerate(spans(text, unit)):
-                    h = xxhash.xxh3_128_intdigest(normal(text[a:b]))
+                units = normal_units(text, unit)[1]
+                for k, j in windows(units, least_words):
+                    h = xxhash.xxh3_128_intdigest(" ".join(units[k:j + 1]))
                     row.append(i)
                     place.append(k)
                     high.append((h >> 64) - (1 << 63))
@@ -113,7 +126,7 @@ def repeats(docs: DataFrame, unit: str = "sentence", id_col: str = "doc_id", tex
     return settle(again.groupBy("rank", "text_key").agg(F.collect_set("place").alias("places")), "repeats")
 
 
-def dedup(docs: DataFrame, unit: str = "sentence", least_words: int = 8, id_col: str = "doc_id", text_col: str = "text",
+def dedup(docs: DataFrame, unit: str = "clause", least_words: int = 8, id_col: str = "doc_id", text_col: str = "text",
           details: str = "dedup") -> DataFrame:
     """``docs`` with repeats cut out of ``text_col``, and a struct ``details`` of ``n_units,
     n_removed, removed`` (array of start and end in the original text), in place of a column of
@@ -129,7 +142,7 @@ def dedup(docs: DataFrame, unit: str = "sentence", least_words: int = 8, id_col:
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = kept.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("rank"),
                        F.xxhash64(text).alias("text_key"), text.alias("text"))
-    joined = rows.join(repeats(docs, unit, id_col, text_col), ["rank", "text_key"], "left").select("row", "text", "places")
+    joined = rows.join(repeats(docs, unit, least_words, id_col, text_col), ["rank", "text_key"], "left").select("row", "text", "places")
     result = "text string, n_units int, n_removed int, removed array<struct<start:int,end:int>>"
 
     def run(texts, places):
@@ -141,7 +154,6 @@ def dedup(docs: DataFrame, unit: str = "sentence", least_words: int = 8, id_col:
             [pa.array([o[0] for o in out], pa.string()), pa.array([o[2] for o in out], pa.int32()), pa.array([o[3] for o in out], pa.int32()),
              pa.ListArray.from_arrays(pa.array(ends), pair)], names=["text", "n_units", "n_removed", "removed"])
 
-    # Left as they are, rows without repeats would still go through Python for their units.
     done = joined.select("row", F.arrow_udf(run, result)("text", "places").alias("cut"))
     columns = [F.when(F.col("row")[c].isNotNull(), F.col("cut.text")).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names]
     return done.select(*columns, F.struct("cut.n_units", "cut.n_removed", "cut.removed").alias(details))
