@@ -26,5 +26,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import (query_attribution, query_bpe, query_compression, query_contamination, query_langid, query_maxent,  # noqa: E402,F401
+from . import (query_attribution, query_bpe, query_compression, query_contamination, query_jaccard, query_langid, query_maxent,  # noqa: E402,F401
                query_quality, query_substring, query_urls)
