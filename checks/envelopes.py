@@ -238,6 +238,27 @@ def _(spark, sf_dir):
         "capture_id", "status", "rows", "total", "last_page")
 
 
+@query("page_audit_long", """
+    select 'long' as capture_id, 'complete' as status, count(*) as "rows", cast(count(*) as int) as last_page,
+           cast(null as varchar) as message from orders
+    union all
+    select 'odd-' || c_custkey % 40, case when bool_or(c_custkey % 120 >= 80) then 'incomplete' else 'complete' end,
+           1, case when bool_or(c_custkey % 120 >= 80) then null else 1 end,
+           case when bool_or(c_custkey % 120 >= 80) then 'a page without a number' end
+    from customer where c_custkey % 40 < 20 or c_custkey % 120 < 40 group by c_custkey % 40""")
+def _(spark, sf_dir):
+    """One capture of as many pages as there are orders, and captures whose pages have no number
+    (a null, or a zero)."""
+    orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    body = lambda n: landed.json_body(F.array(F.lit('{"a": 1}')), n.cast("string"))
+    long = orders.withColumn("n", F.lit(orders.count())).withColumn("f", F.lit(0)).withColumn("page", F.col("o_orderkey").cast("int") + 1)
+    long = long.select(*landed.capture_columns(FUNDS, body(F.col("n")), capture_id=F.lit("long"), fmt=F.lit("json"), num_of_rows=F.lit(1)))
+    odd = (customers.where("c_custkey % 40 < 20 or c_custkey % 120 < 40").withColumn("f", F.lit(0))
+           .withColumn("page", F.expr("case when c_custkey % 120 < 80 then 1 when c_custkey % 240 < 200 then null else 0 end").cast("int")))
+    odd = odd.select(*landed.capture_columns(FUNDS, body(F.lit(1)), capture_id=F.concat(F.lit("odd-"), F.expr("c_custkey % 40")), fmt=F.lit("json"), num_of_rows=F.lit(1)))
+    return page_audit(parse_pages(long.unionByName(odd))).select("capture_id", "status", "rows", "last_page", "message")
+
+
 @query("refused_fetches", f"""{_AUDIT}
     select capture_id, status, case status when 'rate_limited' then 'TRAFFIC EXCEEDED'
       when 'network' then 'HTTP 503' when 'malformed' then 'neither JSON nor XML' end as message

@@ -259,12 +259,13 @@ def _(spark, sf_dir):
 
 @query("replace_period", f"""
     with {_VERSIONS}
-    select v.base_date, v.fund_type, v.offering_type, v.net_asset_total,
-           v.capture_id || ':' || v.page || ':' || v.pos as row_id
-    from versions v
-    where v.capture_id = 'new' or not exists (
-      select 1 from versions n where n.capture_id = 'new' and n.base_date = v.base_date
-        and n.fund_type = v.fund_type and n.offering_type = v.offering_type)""")
+    select base_date, fund_type, offering_type, net_asset_total, capture_id || ':' || page || ':' || pos as row_id
+    from versions where capture_id = 'new'
+    union all
+    select v.base_date, v.fund_type, v.offering_type, v.net_asset_total, v.capture_id || ':' || v.page || ':' || v.pos
+    from (select * from versions where capture_id = 'old') v
+      anti join (select distinct base_date, fund_type, offering_type from versions where capture_id = 'new') n
+      on n.base_date = v.base_date and n.fund_type = v.fund_type and n.offering_type = v.offering_type""")
 def _(spark, sf_dir):
     period = ["base_date", "fund_type", "offering_type"]
     merged = replace_periods(_old(spark, sf_dir), _new(spark, sf_dir), period)

@@ -54,6 +54,19 @@ def _(spark, sf_dir):
     return rejects(untidy.vendor_rows(spark, sf_dir, CMA, ORDERS), CMA)
 
 
+@query("rejects_out_of_range", """
+    select o_orderkey as k, 'hs_code' as missing, 'missing' as reason
+    from orders where o_orderkey % 3 = 0 and o_orderkey % 5 <> 0
+    union all
+    select o_orderkey, 'export_usd', 'out of range' from orders where o_orderkey % 5 = 0""")
+def _(spark, sf_dir):
+    t = table("customs.item_trade")
+    rows = raw_from(read(spark, sf_dir, "orders"), key="o_orderkey", year="'2024.01'",
+                    hsCode="if(o_orderkey % 3 = 0, ' ', o_orderstatus)",
+                    expDlr="if(o_orderkey % 5 = 0, concat(o_orderkey, '99,999,999,999,999,999,999'), cast(o_orderkey as string))")
+    return rejects(rows, t, keep=("k",)).select("k", "missing", "reason")
+
+
 _DEAL_DATE = untidy.expected("o_orderdate", "date_ymd", untidy.pick("o_orderkey", 0))
 
 

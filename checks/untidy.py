@@ -162,7 +162,7 @@ def clean_sql(table: Table, source: Source, where: str = "true") -> str:
 def rejects_sql(table: Table, source: Source) -> str:
     """SQL of the rows left out, with the first column they lack."""
     first = " ".join(f"when {_q(c)} is null then '{c}'" for c in table.required_columns)
-    return (f"select * from (select *, case {first} end as missing from "
+    return (f"select *, 'missing' as reason from (select *, case {first} end as missing from "
             f"(select {_sql_columns(table, source)} from {source.table}) as t) as u "
             f"where missing is not null")
 

@@ -96,6 +96,12 @@ BY_KIND = {
 }
 
 
+def out_of_range(tidy: Column) -> Column:
+    """Whether a tidied value is a whole number that does not fit 64 bits."""
+    value = tidy.try_cast("double")
+    return F.coalesce(tidy.rlike(_FLOAT) & (value % 1 == 0) & (F.abs(value) >= _LONG_LIMIT), F.lit(False))
+
+
 def whole_number(c: Column) -> Column:
     """Optional sign and digits, blanks around allowed, as BIGINT; anything else -> NULL."""
     x = strip(c)

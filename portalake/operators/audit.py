@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Fixed value: a fetch without an end after this many pages is refused.
-PAGE_CAP = 1000
+# Pages whose running count one task takes; a capture of any length is many such blocks.
+BLOCK = 1000
+
+
+def _same(a: DataFrame, b: DataFrame, *columns: str) -> Column:
+    condition = a["capture_id"].eqNullSafe(b["capture_id"])
+    for c in columns:
+        condition &= a[c] == b[c]
+    return condition
 
 
 def page_audit(pages: DataFrame) -> DataFrame:
@@ -18,23 +25,33 @@ def page_audit(pages: DataFrame) -> DataFrame:
     total is reached (``complete``) or passed (``duplicated``), an empty page comes too early
     (``truncated``), a short page ends a fetch without totals (``complete``), or the page
     itself failed (its own status). A page number missing from the sequence is
-    ``incomplete``, one landed twice is ``repeated``; ``cap`` means no end within the cap.
+    ``incomplete``, and so is a page without a number from 1 up. A page landed twice counts
+    once if its copies are alike (``fingerprint``), else the fetch is ``repeated``.
 
-    Only the narrow page columns are shuffled. Pages past the cap are never asked for, and
-    copies of a page are folded before the shuffle, so a capture brings at most PAGE_CAP rows
-    to the window however many bodies carry its id.
+    Only the narrow page columns are shuffled, copies folded before it. The running count of
+    rows is taken in two levels, over blocks of pages and within a block, so that a capture
+    of any number of pages is spread over tasks.
     """
-    narrow = (pages.where(F.col("page").between(1, PAGE_CAP))
+    alike = (F.countDistinct("fingerprint") if "fingerprint" in pages.columns else F.count(F.lit(1)))
+    number = F.when(F.col("page") >= 1, F.col("page").cast("bigint")).otherwise(0)
+    narrow = (pages.withColumn("page", number)
               .groupBy("capture_id", "page")
-              .agg(F.count(F.lit(1)).alias("copies"),
+              .agg(alike.alias("copies"),
                    F.max("num_of_rows").alias("num_of_rows"),
                    F.max("n").cast("bigint").alias("n"), F.max("total").alias("total"),
                    F.max("status").alias("page_status"),
-                   F.max("code").alias("code"), F.max("message").alias("message")))
-    in_order = Window.partitionBy("capture_id").orderBy("page")
+                   F.max("code").alias("code"), F.max("message").alias("message"))
+              .withColumn("block", F.expr(f"page div {BLOCK}")))
+    blocks = narrow.groupBy("capture_id", "block").agg(F.sum("n").alias("bn"), F.count(F.lit(1)).alias("bp"))
+    before = Window.partitionBy("capture_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("capture_id", "block", F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("rows_before"),
+                           F.coalesce(F.sum("bp").over(before), F.lit(0)).alias("pages_before"))
+    in_order = Window.partitionBy("capture_id", "block").orderBy("page")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    judged = narrow.select(
-        "*", F.sum("n").over(so_far).alias("rows"), F.row_number().over(in_order).alias("nth"))
+    counted = narrow.select("*", F.sum("n").over(so_far).alias("in_block"), F.row_number().over(in_order).alias("place"))
+    judged = (counted.join(starts, _same(counted, starts, "block"))
+              .select(counted["*"], (F.col("rows_before") + F.col("in_block")).alias("rows"),
+                      (F.col("pages_before") + F.col("place")).alias("nth")))
     rows, total, n = F.col("rows"), F.col("total"), F.col("n")
     outcome = (F.when(F.col("nth") != F.col("page"), "incomplete")
                .when(F.col("copies") > 1, "repeated")
@@ -43,20 +60,19 @@ def page_audit(pages: DataFrame) -> DataFrame:
                .when(rows == total, "complete")
                .when(total.isNotNull() & (n == 0), "truncated")
                .when(total.isNull() & ((n == 0) | (n < F.col("num_of_rows"))), "complete"))
-    facts = F.struct(F.col("page"), outcome.alias("outcome"), rows.alias("rows"),
-                     total.alias("total"), F.col("code"), F.col("message"))
-    # The window left each capture in one partition: this grouping adds no shuffle.
+    unnumbered = F.col("page") == 0
+    facts = F.struct(F.col("page"), outcome.alias("outcome"), rows.alias("rows"), total.alias("total"), F.col("code"),
+                     F.when(unnumbered, "a page without a number").otherwise(F.col("message")).alias("message"))
     folded = judged.groupBy("capture_id").agg(
         F.min(F.when(outcome.isNotNull(), facts)).alias("end"),
         F.max("page").alias("pages"), F.sum("n").alias("seen"))
     end = F.col("end")
-    open_status = F.when(F.col("pages") >= PAGE_CAP, "cap").otherwise("incomplete")
     return folded.select(
         "capture_id",
-        F.coalesce(end["outcome"], open_status).alias("status"),
+        F.coalesce(end["outcome"], F.lit("incomplete")).alias("status"),
         F.coalesce(end["rows"], F.col("seen")).alias("rows"),
         end["total"].alias("total"),
-        F.coalesce(end["page"], F.col("pages")).alias("last_page"),
+        F.nullif(F.coalesce(end["page"], F.col("pages")), F.lit(0)).cast("int").alias("last_page"),
         F.when(end["outcome"] != "complete", end["code"]).alias("code"),
         F.when(end["outcome"] != "complete", end["message"]).alias("message"),
     )
@@ -67,12 +83,19 @@ def complete_only(pages: DataFrame, audit: DataFrame) -> DataFrame:
 
     Joined page by page, before rows are taken out of their arrays. The audit side is
     broadcast only if Spark measures it small enough; otherwise both sides are shuffled and
-    adaptive execution splits a hot capture.
+    adaptive execution splits a hot capture. Of a page landed more than once, one copy is
+    kept; they are alike, or the fetch would not be complete.
     """
-    good = (audit.where(F.col("status") == "complete")
-            .select("capture_id", F.col("last_page").alias("_last")))
-    return (pages.join(good, "capture_id")
-            .where(F.col("page") <= F.col("_last")).drop("_last"))
+    good = audit.where(F.col("status") == "complete").select("capture_id", F.col("last_page").alias("_last"))
+    kept = (pages.join(good, _same(pages, good)).where(F.col("page") <= F.col("_last"))
+            .select(pages["*"]))
+    copied = (pages.groupBy("capture_id", "page").agg(F.count(F.lit(1)).alias("_copies"))
+              .where("_copies > 1 and page is not null"))
+    marked = kept.join(copied, _same(kept, copied, "page"), "left")
+    # Only pages that have copies are shuffled with their rows.
+    once = marked.where(F.col("_copies").isNull()).select(kept["*"])
+    folded = marked.where(F.col("_copies").isNotNull()).select(kept["*"]).dropDuplicates(["capture_id", "page"])
+    return once.unionByName(folded)
 
 
 def refused(audit: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portalake.functions.parsers import BY_KIND
+from portalake.functions.parsers import BY_KIND, out_of_range
 from portalake.schema import Field, Table
 
 
@@ -21,13 +21,19 @@ def _typed(field: Field) -> Column:
     return value.alias(field.column, metadata=field.struct_field.metadata)
 
 
+def _projected(rows: DataFrame, table: Table, keep: tuple[str, ...], raw: str) -> DataFrame:
+    """Kept and typed columns, and the tidied text of whole numbers beside them."""
+    tidy = [BY_KIND[f.kind].tidy(_source(f, table, F.col(raw))).alias(f"_{f.column}")
+            for f in table.fields]
+    text = [F.col(f"_{f.column}") for f in table.fields if f.kind == "int"]
+    return rows.select(*keep, *tidy).select(*keep, *[_typed(f) for f in table.fields], *text)
+
+
 def project(rows: DataFrame, table: Table, keep: tuple[str, ...] = (),
             raw: str = "raw") -> DataFrame:
     """Rename and type the declared tokens, in declared order; other tokens are dropped.
     ``keep`` names lineage columns to carry along."""
-    tidy = [BY_KIND[f.kind].tidy(_source(f, table, F.col(raw))).alias(f"_{f.column}")
-            for f in table.fields]
-    return rows.select(*keep, *tidy).select(*keep, *[_typed(f) for f in table.fields])
+    return _projected(rows, table, keep, raw).select(*keep, *table.columns)
 
 
 def _all_present(table: Table) -> Column:
@@ -35,17 +41,28 @@ def _all_present(table: Table) -> Column:
                   F.lit(True))
 
 
+def _too_large(table: Table) -> list[tuple[str, Column]]:
+    """Whole numbers that came out NULL because they pass 64 bits, by column."""
+    return [(f.column, F.col(f.column).isNull() & out_of_range(F.col(f"_{f.column}")))
+            for f in table.fields if f.kind == "int"]
+
+
 def clean(rows: DataFrame, table: Table, keep: tuple[str, ...] = (),
           raw: str = "raw") -> DataFrame:
-    """Typed rows that have their dates and, unless the table is wide, all key parts."""
-    typed = project(rows, table, keep, raw)
-    return typed.where(_all_present(table)) if table.required_columns else typed
+    """Typed rows that have their dates and, unless the table is wide, all key parts, and whose
+    whole numbers fit 64 bits; :func:`rejects` has the others."""
+    fits = reduce(lambda a, b: a & ~b[1], _too_large(table), _all_present(table))
+    return _projected(rows, table, keep, raw).where(fits).select(*keep, *table.columns)
 
 
 def rejects(rows: DataFrame, table: Table, keep: tuple[str, ...] = (),
             raw: str = "raw") -> DataFrame:
-    """The rows :func:`clean` leaves out, with ``missing`` naming the first column lacking."""
-    missing = F.coalesce(*[F.when(F.col(c).isNull(), c) for c in table.required_columns],
+    """The rows :func:`clean` leaves out: ``reason`` is ``missing`` or ``out of range``, and
+    ``missing`` names the first column that is so."""
+    lacking = F.coalesce(*[F.when(F.col(c).isNull(), c) for c in table.required_columns],
                          F.lit(None).cast("string"))
-    return (project(rows, table, keep, raw).withColumn("missing", missing)
-            .where(F.col("missing").isNotNull()))
+    large = F.coalesce(*[F.when(over, c) for c, over in _too_large(table)], F.lit(None).cast("string"))
+    found = _projected(rows, table, keep, raw).select(*keep, *table.columns, large.alias("_large"), lacking.alias("_lacking"))
+    return (found.where(F.col("_large").isNotNull() | F.col("_lacking").isNotNull())
+            .select(*keep, *table.columns, F.coalesce("_large", "_lacking").alias("missing"),
+                    F.when(F.col("_large").isNotNull(), "out of range").otherwise("missing").alias("reason")))

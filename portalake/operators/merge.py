@@ -12,8 +12,9 @@ RECENCY = ("captured_at", "page", "pos")
 
 
 def latest_by_key(rows: DataFrame, keys: list[str], recency: tuple[str, ...] = RECENCY) -> DataFrame:
-    """The newest row per key. A partial aggregate: each task sends one row per key it saw,
-    so a key with a third of all versions costs no more than another."""
+    """The newest row per key. Each task sends one row per key it saw, so a key with a third of
+    all versions costs no more than another. Spark sorts for this aggregate, before and after
+    the shuffle, as its state is a whole row."""
     rest = [c for c in rows.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*recency)).alias("_row")
     return (rows.groupBy(*keys).agg(newest)
@@ -38,5 +39,6 @@ def replace_periods(existing: DataFrame, incoming: DataFrame, period: list[str])
 
 def with_row_id(rows: DataFrame, name: str = "row_id") -> DataFrame:
     """Surrogate id of a wide table's row: where it came from. Unlike a hash it is unique at
-    any size, and a re-run gives the same id."""
-    return rows.withColumn(name, F.concat_ws(":", "capture_id", "page", "pos"))
+    any size, and a re-run gives the same id. A missing part is written ``?``."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in ("capture_id", "page", "pos")]
+    return rows.withColumn(name, F.concat_ws(":", *parts))

@@ -13,6 +13,7 @@ from portalake.operators.audit import complete_only, page_audit, refused
 from portalake.operators.clean import clean as clean_rows
 from portalake.operators.clean import rejects as reject_rows
 from portalake.schema import Table
+from portalake.session import shared_folder
 from portalake.sources.envelope import LINEAGE, parse_pages, raw_rows, stage_pages
 from portalake.tables import table as find_table
 
@@ -26,8 +27,9 @@ def _of_operation(captures: DataFrame, table: Table) -> DataFrame:
 
 
 def _complete_rows(pages: DataFrame, stage: str | None) -> DataFrame:
-    if stage:
-        pages = stage_pages(pages, stage)
+    """Rows of complete fetches. Pages are parsed once: they are written to ``stage`` (a folder
+    that the cluster shares; by default the session's), and the audit and the rows read that."""
+    pages = stage_pages(pages, stage or shared_folder(pages.sparkSession))
     return raw_rows(complete_only(pages, page_audit(pages)))
 
 
@@ -46,8 +48,8 @@ def vendor_rows(captures: DataFrame, name: str, stage: str | None = None) -> Dat
 
 def typed_rows(captures: DataFrame, name: str, keep: tuple[str, ...] = (),
                stage: str | None = None) -> DataFrame:
-    """Typed rows of a declared table from complete fetches. ``stage`` is a folder shared by
-    the cluster where parsed pages are written once, for large inputs."""
+    """Typed rows of a declared table from complete fetches. Parsed pages are written once, below
+    ``stage`` or the session's shared folder."""
     t = find_table(name)
     pages = parse_pages(_of_operation(captures, t), t)
     return clean_rows(_complete_rows(pages, stage), t, keep)

@@ -55,6 +55,12 @@ class Table:
     derived: Mapping[str, Callable[[Column], Column]] = dc_field(default_factory=dict)
     # vendor tokens the derived expressions read
     derived_from: tuple[str, ...] = ()
+    # What one request of a wide table covers, and so replaces: its period (the date, or the
+    # column or request parameter named here, by day or by month) and these columns' values.
+    slices: tuple[str, ...] = ()
+    period_column: str | None = None
+    period_param: str | None = None
+    monthly: bool = False
 
     def __post_init__(self) -> None:
         for what, values in (("column", self.columns),

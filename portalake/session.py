@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,10 +21,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Where rows are kept between the steps of a job: the folder that the cluster names in
+    ``spark.checkpoint.dir``, or, where that is unset, one beside the warehouse."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch").rstrip("/")
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Rows that a job needs more than once, computed once: written to the checkpoint folder
-    the cluster names in ``spark.checkpoint.dir``, where they outlive a lost executor. With no
-    such folder the rows are computed each time."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        return df
-    return df.checkpoint()
+    """Rows that a job needs more than once, computed once: written to the shared folder and
+    read back, so that they outlive a lost executor."""
+    path = f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,7 +3,7 @@ touches."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portalake.operators.merge import latest_by_key, replace_periods, RECENCY, with_row_id
@@ -11,19 +11,44 @@ from portalake.schema import Table
 from portalake.session import settle
 
 PERIOD = "part_month"
+# What a replacement covers in time: a date, an announcement or a month.
+REPLACED = "replaced_period"
 
 
-def with_period(rows: DataFrame, table: Table, period_param: str | None = None) -> DataFrame:
-    """Add the partition column: the month of the row's date, or for a table without a date
-    the month of a request parameter, or of the capture time."""
+def _period(table: Table, period_param: str | None) -> Column:
+    """The period of a row as text: a request parameter asked for here, the row's date, or the
+    table's own column or parameter; rows without one have the day they were captured."""
+    if period_param:
+        return F.col("params")[period_param]
+    captured = F.date_format("captured_at", "yyyy-MM-dd")
     if table.date_column:
-        month = F.substring(table.date_column, 1, 7)
-    elif period_param:
-        digits = F.regexp_replace(F.col("params")[period_param], "[^0-9]", "")
-        month = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2))
-    else:
-        month = F.date_format("captured_at", "yyyy-MM")
-    return rows.withColumn(PERIOD, month)
+        return F.col(table.date_column)
+    if table.period_column:
+        return F.coalesce(F.col(table.period_column), captured)
+    return F.coalesce(F.col("params")[table.period_param], captured) if table.period_param else captured
+
+
+def with_period(rows: DataFrame, table: Table, period_param: str | None = None) -> DataFrame:
+    """Add the partition column, a month, and for a wide table the period a request replaces. A
+    row without a period fails the job: stored under none, it would be replaced with rows it
+    has nothing to do with."""
+    digits = F.regexp_replace(_period(table, period_param), "[^0-9]", "")
+    month = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2))
+    known = F.length(digits) >= 6
+    rows = rows.withColumn(PERIOD, F.when(known, month).otherwise(
+        F.raise_error(F.lit(f"a row of {table.full_name} has no period"))))
+    return rows.withColumn(REPLACED, F.substring(digits, 1, 6) if table.monthly else digits) if table.wide else rows
+
+
+def _touched(rows: DataFrame) -> list[str]:
+    """The months of some rows: as many as the calendar has."""
+    return [r[0] for r in rows.select(PERIOD).distinct().collect()]
+
+
+def stored_months(rows: DataFrame, path: str, months: list[str]) -> DataFrame:
+    """Of the stored table the given months; they are values in the plan, so that the scan opens
+    their folders alone."""
+    return read_table(rows, path).where(F.col(PERIOD).isin(months))
 
 
 def write_table(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -45,30 +70,27 @@ def read_table(rows: DataFrame, path: str) -> DataFrame:
 
 def upsert_table(incoming: DataFrame, path: str, table: Table,
                  recency: tuple[str, ...] = RECENCY) -> None:
-    """Merge rows into a stored keyed table. A date is part of every natural key, so only
-    the periods present in the new rows are read back and rewritten; they are few and pruned
-    at the scan."""
+    """Merge rows into a stored keyed table. A date is part of every natural key, so only the
+    months present in the new rows are read back and rewritten."""
     if table.wide or not table.key_columns:
         raise ValueError(f"{table.full_name} has no natural key: use replace_table")
     incoming = settle(with_period(incoming, table))
-    touched = incoming.select(PERIOD).distinct()
-    stored = read_table(incoming, path).join(touched, PERIOD, "left_semi")
-    merged = latest_by_key(stored.unionByName(incoming), table.key_columns, recency)
-    write_table(merged, path)
+    months = _touched(incoming)
+    if months:
+        stored = stored_months(incoming, path, months)
+        write_table(latest_by_key(stored.unionByName(incoming), table.key_columns, recency), path)
 
 
 def replace_table(incoming: DataFrame, path: str, table: Table, period_param: str | None = None,
                   slices: list[str] | None = None) -> None:
-    """Replace a wide table's rows period by period, with surrogate ids. By default a period
-    is replaced as a whole and the old rows are not even read; ``slices`` names further
-    columns (such as the region asked for) so that only their part of a period is."""
-    incoming = with_row_id(with_period(incoming, table, period_param))
-    if not slices:
-        return write_table(incoming, path)
-    incoming = settle(incoming)
-    touched = incoming.select(PERIOD).distinct()
-    stored = read_table(incoming, path).join(touched, PERIOD, "left_semi")
-    write_table(replace_periods(stored, incoming, [PERIOD, *slices]), path)
+    """Replace a wide table's rows as far as the new rows cover them, with surrogate ids: the rows
+    of the same period and the same ``slices``, by default those the table declares (such as the
+    region or the grid cell asked for). All else in a month stays."""
+    incoming = settle(with_row_id(with_period(incoming, table, period_param)))
+    months = _touched(incoming)
+    if months:
+        covered = [PERIOD, REPLACED, *(table.slices if slices is None else slices)]
+        write_table(replace_periods(stored_months(incoming, path, months), incoming, covered), path)
 
 
 def rows_to_json(rows: DataFrame) -> DataFrame:

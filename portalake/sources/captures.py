@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,9 +40,14 @@ def write_captures(captures: DataFrame, path: str, mode: str = "append") -> None
 def read_bodies(spark: SparkSession, root: str, fmt: str, num_of_rows: int = 1000) -> DataFrame:
     """Captures from a folder of response files laid out as
     ``<service>/<operation...>/<capture_id>/<page>.<suffix>``. The operation may itself
-    contain slashes. The file time stands in for the capture time."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
-    inside = F.split(F.element_at(F.split("path", F.lit(root.rstrip("/") + "/"), 2), -1), "/")
+    contain slashes. The file time stands in for the capture time. A file whose name does not
+    begin with a number has no page; the audit then refuses its capture."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    # The path comes back with a scheme and maybe encoded, so what stands before the root is
+    # cut by its place, and the root is taken literally.
+    plain = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    folder = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root.rstrip("/")) + "/"
+    inside = F.split(F.substr(plain, F.locate(folder, plain) + F.lit(len(folder))), "/", -1)
     size = F.size(inside)
     return files.select(
         F.element_at(inside, -2).alias("capture_id"),

@@ -6,6 +6,8 @@ rows in one array column, so counting pages and rows later touches no text.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,7 +79,8 @@ def parse_pages(captures: DataFrame, table: Table | None = None,
     survive and an absent token differs from an empty one. With ``table`` it is a STRUCT of
     the declared tokens only, which is cheaper to build and to read.
 
-    Output: the lineage columns, ``service``, ``operation``, ``num_of_rows``, ``status``
+    Output: the lineage columns, ``service``, ``operation``, ``num_of_rows``, ``fingerprint``
+    (a hash of the body, by which copies are told), ``status``
     (ok, no_data, auth, rate_limited, response_error, network, malformed), ``code``,
     ``message``, ``retry_after``, ``total``, ``n`` and ``items``.
 
@@ -170,7 +173,7 @@ def _envelope(df: DataFrame, row_type: str, table: Table | None) -> DataFrame:
     header = F.coalesce(j["response"]["header"], x["header"])
     df = df.select(
         *LINEAGE, "service", "operation", "num_of_rows", "http_status", "retry_after",
-        F.col("_http"), text.isNotNull().alias("_readable"),
+        F.xxhash64("body").alias("fingerprint"), F.col("_http"), text.isNotNull().alias("_readable"),
         (is_json | F.coalesce(whole_xml, F.lit(False))).alias("_whole"),
         F.when(is_json, json_kind).when(whole_xml, xml_kind).alias("_kind"),
         fault.alias("_fault"), header.alias("_header"),
@@ -218,14 +221,16 @@ def _pages(df: DataFrame, secret: str | None) -> DataFrame:
     # Taken out of a one-element array: Spark does not move later filters on these columns
     # below a generator, where each would repeat the parsing above.
     df = df.withColumn("_page", page)
-    return df.select(*LINEAGE, "service", "operation", "num_of_rows", F.inline_outer(F.array("_page")))
+    return df.select(*LINEAGE, "service", "operation", "num_of_rows", "fingerprint", F.inline_outer(F.array("_page")))
 
 
-def stage_pages(pages: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
+def stage_pages(pages: DataFrame, path: str) -> DataFrame:
     """Write parsed pages and read them back. Auditing and reading rows each scan pages;
-    staging makes them share one parse, and the audit then reads only narrow columns."""
-    (pages.write.mode(mode).partitionBy("service", "operation").parquet(path))
-    return pages.sparkSession.read.schema(pages.schema).parquet(path)
+    staging makes them share one parse, and the audit then reads only narrow columns. Every
+    call writes a folder of its own below ``path``, so several tables may share it."""
+    mine = f"{path.rstrip('/')}/pages-{uuid.uuid4().hex}"
+    pages.write.parquet(mine)
+    return pages.sparkSession.read.schema(pages.schema).parquet(mine)
 
 
 def raw_rows(pages: DataFrame) -> DataFrame:

@@ -1,6 +1,9 @@
-"""The same parse and clean on captures as they arrive. Both steps look at one body at a time,
-so they run unchanged on a stream. The page audit needs all pages of a fetch and is left to
-batch runs over the landed table."""
+"""The same parse and clean on captures as they arrive.
+
+Parse and clean look at one body at a time, so they run unchanged on a stream. Whether a fetch
+is complete can be told only from all its pages, which may come in several batches: the sink
+keeps parsed pages beside the table, and merges a fetch when its last page is there.
+"""
 
 from __future__ import annotations
 
@@ -9,12 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portalake.operators.audit import complete_only, page_audit
 from portalake.operators.clean import clean
 from portalake.sinks.tables import upsert_table
 from portalake.sources.captures import CAPTURE_SCHEMA
-from portalake.sources.envelope import parse_pages, raw_rows
+from portalake.sources.envelope import LINEAGE, parse_pages, raw_rows
 from portalake.tables import table as find_table
 
+# Folders that landed pages are spread over by capture, so that a batch reads back its own.
+BUCKETS = 256
+
 
 def stream_captures(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Captures newly landed in a parquet folder."""
@@ -23,14 +30,32 @@ def stream_captures(spark: SparkSession, path: str, files_per_batch: int = 1000)
 
 
 def typed_stream(captures: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed rows of a declared table, body by body."""
+    """Typed rows of a declared table, body by body: for looking on, not for storing, as rows of
+    fetches that turn out incomplete are among them."""
     t = find_table(name)
     mine = captures.where((F.col("service") == t.service) & (F.col("operation") == t.operation))
     return clean(raw_rows(parse_pages(mine, t)), t, keep)
 
 
-def upsert_batches(name: str, path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that merges each batch into a stored keyed table. Merging the same
-    batch twice changes nothing, so a retried batch is harmless."""
+def upsert_batches(name: str, path: str, landed: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink of captures. Pages are parsed, kept in the folder ``landed`` by batch,
+    and the fetches that a batch brought pages of are audited with all their pages so far; those
+    that are complete are merged into the stored keyed table. A batch that is run again writes
+    the same pages and merges the same rows, so it is harmless."""
     t = find_table(name)
-    return lambda batch, batch_id: upsert_table(batch, path, t)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mine = batch.where((F.col("service") == t.service) & (F.col("operation") == t.operation))
+        bucket = F.pmod(F.xxhash64("capture_id"), F.lit(BUCKETS)).cast("int")
+        pages = parse_pages(mine, t).withColumn("batch", F.lit(batch_id)).withColumn("bucket", bucket)
+        (pages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket", "batch").parquet(landed))
+        stored = spark.read.schema(pages.schema).parquet(landed)
+        now = stored.where(F.col("batch") == batch_id).select("capture_id").distinct()
+        buckets = [r[0] for r in now.select(bucket).distinct().collect()]
+        mine = stored.where(F.col("bucket").isin(buckets)).join(now, "capture_id", "left_semi").select(*pages.columns)
+        rows = clean(raw_rows(complete_only(mine, page_audit(mine))), t, keep=(*LINEAGE, "pos"))
+        upsert_table(rows, path, t)
+
+    return sink

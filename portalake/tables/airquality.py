@@ -27,7 +27,8 @@ _MEASURES = _INDEX + tuple(
                   Field(f"{name}Flag", f"{name}_flag", "text")))
 
 TABLES = (
-    Table("airquality", "by_sido", "getCtprvnRltmMesureDnsty", _BY_SIDO + _MEASURES, wide=True),
+    Table("airquality", "by_sido", "getCtprvnRltmMesureDnsty", _BY_SIDO + _MEASURES, wide=True,
+          period_column="measured_at", slices=("sido", "station")),
     Table("airquality", "by_station", "getMsrstnAcctoRltmMesureDnsty", _BY_STATION + _MEASURES,
-          wide=True),
+          wide=True, period_column="measured_at", slices=("station",)),
 )

@@ -22,6 +22,6 @@ _TEMPERATURE = (_REGION, *(Field(f"{token}{d}", f"{column}_{d}", kind)
                            for token, column, kind in (_LOW, _HIGH)))
 
 TABLES = (
-    Table("midforecast", "land", "getMidLandFcst", _LAND, wide=True),
-    Table("midforecast", "temperature", "getMidTa", _TEMPERATURE, wide=True),
+    Table("midforecast", "land", "getMidLandFcst", _LAND, wide=True, period_param="tmFc", slices=("region_code",)),
+    Table("midforecast", "temperature", "getMidTa", _TEMPERATURE, wide=True, period_param="tmFc", slices=("region_code",)),
 )

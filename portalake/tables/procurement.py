@@ -29,4 +29,5 @@ _OPERATIONS = {
     "foreign": "getBidPblancListInfoFrgcptPPSSrch",
 }
 
-TABLES = tuple(Table("procurement", name, op, _BID, wide=True) for name, op in _OPERATIONS.items())
+TABLES = tuple(Table("procurement", name, op, _BID, wide=True, period_column="notice_at",
+                     slices=("notice_no", "notice_ord")) for name, op in _OPERATIONS.items())

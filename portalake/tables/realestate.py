@@ -72,6 +72,7 @@ roadnmbcd         road_basement_yn          text
 def _table(name: str, operation: str, fields: str) -> Table:
     lines = "\n".join(line for line in fields.splitlines() if line.strip())
     return Table("realestate", name, f"{operation}/get{operation}", parse_fields(lines), wide=True,
+                 monthly=True, slices=("region_code",),
                  derived={"dealDate": deal_date},
                  derived_from=("dealYear", "dealMonth", "dealDay"))
 

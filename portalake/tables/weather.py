@@ -24,7 +24,7 @@ ny         ny              int       key
 """)
 
 TABLES = (
-    Table("weather", "forecast", "getVilageFcst", _FORECAST, wide=True),
-    Table("weather", "ultra_forecast", "getUltraSrtFcst", _FORECAST, wide=True),
-    Table("weather", "nowcast", "getUltraSrtNcst", _NOWCAST, wide=True),
+    Table("weather", "forecast", "getVilageFcst", _FORECAST, wide=True, slices=("base_time", "nx", "ny")),
+    Table("weather", "ultra_forecast", "getUltraSrtFcst", _FORECAST, wide=True, slices=("base_time", "nx", "ny")),
+    Table("weather", "nowcast", "getUltraSrtNcst", _NOWCAST, wide=True, slices=("base_time", "nx", "ny")),
 )

@@ -33,8 +33,12 @@ SCENARIOS = {
     "no_first_page": ([(2, 10, 10)], ("incomplete", 10, 2)),
     "open_end": ([(1, 30, 10)], ("incomplete", 10, 1)),
     "repeated": ([(1, 20, 10), (1, 20, 10)], ("repeated", 10, 1)),
-    "cap": ([(p, None, 10) for p in range(1, 1001)], ("cap", 10000, 1000)),
-    "past_the_cap": ([(p, None, 10) for p in range(1, 1001)] + [(1001, None, 0)], ("cap", 10000, 1000)),
+    "long": ([(p, 25000, 10) for p in range(1, 2501)], ("complete", 25000, 2500)),
+    "long_open": ([(p, None, 10) for p in range(1, 2002)], ("incomplete", 20010, 2001)),
+    "gap_in_a_later_block": ([(p, 30000, 10) for p in range(1, 2400) if p != 1500], ("incomplete", 15000, 1501)),
+    "null_page": ([(None, 10, 10)], ("incomplete", 10, None)),
+    "zero_page": ([(0, 20, 10), (1, 20, 10), (2, 20, 10)], ("incomplete", 10, None)),
+    "negative_page": ([(-3, 10, 10)], ("incomplete", 10, None)),
 }
 
 
@@ -44,12 +48,36 @@ def test_scenarios(spark):
     assert got == {k: v[1] for k, v in SCENARIOS.items()}
 
 
+def test_no_capture_vanishes(spark):
+    pages = _pages(spark, **{k: v[0] for k, v in SCENARIOS.items()})
+    audit = page_audit(pages)
+    assert audit.count() == len(SCENARIOS)
+    assert refused(audit).count() + audit.where("status = 'complete'").count() == len(SCENARIOS)
+    assert [(r.status, r.message) for r in audit.where("capture_id = 'null_page'").collect()] == [("incomplete", "a page without a number")]
+
+
+def test_copies_count_once_if_alike(spark):
+    schema = SCHEMA + ", fingerprint long, items array<int>"
+    rows = [(c, p, 10, "ok", "00", "ok", 20, 10, h, [1]) for c, p, h in
+            (("alike", 1, 7), ("alike", 1, 7), ("alike", 2, 8), ("other", 1, 7), ("other", 1, 9), ("other", 2, 8))]
+    pages = spark.createDataFrame(rows, schema)
+    audit = page_audit(pages)
+    assert {r.capture_id: (r.status, r.rows) for r in audit.collect()} == {"alike": ("complete", 20), "other": ("repeated", 10)}
+    assert sorted((r.capture_id, r.page) for r in complete_only(pages, audit).collect()) == [("alike", 1), ("alike", 2)]
+
+
+def test_no_window_over_a_capture(spark):
+    plan = page_audit(_pages(spark, a=[(1, 10, 10)]))._jdf.queryExecution().optimizedPlan().toString()
+    over_pages = [line for line in plan.splitlines() if "Window" in line and "page" in line.split("windowspec")[0]]
+    assert all("block" in line for line in over_pages)
+
+
 def test_all_or_nothing(spark):
     pages = _pages(spark, **{k: v[0] for k, v in SCENARIOS.items()})
     audit = page_audit(pages)
     kept = {(r.capture_id, r.page) for r in complete_only(pages, audit).collect()}
     want = {(k, p[0]) for k, (ps, (status, _, last)) in SCENARIOS.items() for p in ps
-            if status == "complete" and p[0] <= last}
+            if status == "complete" and p[0] is not None and p[0] <= last}
     assert kept == want
     assert {r.capture_id for r in refused(audit).collect()} == {
         k for k, v in SCENARIOS.items() if v[1][0] != "complete"}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from portalake import (CAPTURE_SCHEMA, fetch, read_bodies, read_captures, replace_table, rows_to_json, table,
                        typed_rows, upsert_table, write_captures, write_json)
 from portalake.operators import filters
-from portalake.streaming.ingest import stream_captures, typed_stream, upsert_batches
+from portalake.streaming.ingest import stream_captures, upsert_batches
 
 
 def _body(rows, total=None):
@@ -97,29 +97,75 @@ def test_json_export(spark, folder):
     assert spark.read.text(folder + "/j").first().value == '{"a":"가","b":null}'
 
 
-def test_stream_upserts(spark, folder):
+def test_stream_merges_complete_fetches(spark, folder):
     t = table("kofia.fund_net_asset")
-    rows = _captures(spark, _capture("a", [_fund("20250105", "주식", 1)]), _capture("b", [_fund("20250105", "주식", 5)], at=3))
-    rows.write.parquet(folder + "/in")
-    typed = typed_stream(stream_captures(spark, folder + "/in"), t.full_name, keep=KEEP)
-    q = (typed.writeStream.foreachBatch(upsert_batches(t.full_name, folder + "/t"))
-         .option("checkpointLocation", folder + "/cp").trigger(availableNow=True).start())
-    assert q.awaitTermination(120)
-    assert [r.net_asset_total for r in spark.read.parquet(folder + "/t").collect()] == [5]
+    whole = [_capture("a", [_fund("20250105", "주식", 1)]), _capture("b", [_fund("20250105", "주식", 5)], at=3)]
+    half = _capture("c", [_fund("20250106", "주식", 9)], at=4, total=2)
+    rest = half[:4] + (2,) + half[5:10] + (_body([_fund("20250107", "주식", 8)], 2),)
+    half = half[:5] + (1,) + half[6:]
 
+    def run():
+        q = (stream_captures(spark, folder + "/in").writeStream
+             .foreachBatch(upsert_batches(t.full_name, folder + "/t", folder + "/landed"))
+             .option("checkpointLocation", folder + "/cp").trigger(availableNow=True).start())
+        assert q.awaitTermination(120)
+        return sorted((r.base_date, r.net_asset_total) for r in spark.read.parquet(folder + "/t").collect())
 
-def test_settled_rows_survive_in_the_checkpoint_folder(spark, folder):
+    _captures(spark, *whole, half).write.parquet(folder + "/in")
+    assert run() == [("2025-01-05", 5)]
+    _captures(spark, rest).write.mode("append").parquet(folder + "/in")
+    assert run() == [("2025-01-05", 5), ("2025-01-06", 9), ("2025-01-07", 8)]
+
+
+def test_settled_rows_are_read_back(spark, folder):
     from portalake import settle
-    df = spark.range(5)
-    if spark.sparkContext.getCheckpointDir() is None:
-        assert settle(df) is df
-        spark.sparkContext.setCheckpointDir(folder)
-    assert settle(df).count() == 5
-    assert "Scan ExistingRDD" in settle(df)._jdf.queryExecution().executedPlan().toString()
+    df = settle(spark.range(5))
+    assert df.count() == 5
+    assert "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_upsert_reads_touched_months_only(spark, folder):
+    from portalake.sinks.tables import stored_months, with_period
     t = table("kofia.fund_net_asset")
-    rows = _captures(spark, _capture("a", [_fund("20250105", "주식", 1)]))
-    upsert_table(typed_rows(rows, t.full_name, keep=KEEP), folder + "/t", t)
-    assert spark.read.parquet(folder + "/t").count() == 1
+    rows = typed_rows(_captures(spark, _capture("a", [_fund("20250105", "주식", 1), _fund("20250203", "주식", 3)])), t.full_name, keep=KEEP)
+    upsert_table(rows, folder + "/t", t)
+    plan = stored_months(with_period(rows, t), folder + "/t", ["2025-02"])._jdf.queryExecution().executedPlan().toString()
+    assert "part_month" in plan.split("PartitionFilters")[1].split("PushedFilters")[0] and "2025-02" in plan.split("PartitionFilters")[1]
+
+
+def test_a_fetch_replaces_only_what_it_covers(spark, folder):
+    t = table("weather.forecast")
+    item = lambda day, nx, v: {"baseDate": day, "baseTime": "0500", "category": "TMP", "fcstDate": day, "fcstTime": "0600", "fcstValue": v, "nx": nx, "ny": 127}
+    for i, (day, nx, v) in enumerate((("20250105", 60, "1"), ("20250106", 60, "2"), ("20250106", 61, "3"), ("20250106", 60, "4"))):
+        c = ("c%d" % i, "weather", t.operation, "json", 1, 100, {}, dt.datetime(2025, 1, 7), 200, None, _body([item(day, nx, v)]))
+        replace_table(typed_rows(_captures(spark, c), t.full_name, keep=KEEP), folder + "/t", t)
+    got = sorted((r.base_date, r.nx, r.forecast_value) for r in spark.read.parquet(folder + "/t").collect())
+    assert got == [("2025-01-05", 60, "1"), ("2025-01-06", 60, "4"), ("2025-01-06", 61, "3")]
+
+
+def test_a_row_without_a_period_fails(spark, folder):
+    t = table("midforecast.land")
+    rows = spark.createDataFrame([("c", 1, None, {}, 0)], "capture_id string, page int, captured_at timestamp, params map<string,string>, pos int")
+    rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema])
+    with pytest.raises(Exception, match="no period"):
+        replace_table(rows, folder + "/t", t)
+
+
+def test_bodies_below_an_odd_root(spark, folder):
+    for name in ("1.json", "page2.json"):
+        path = f"{folder}/in+x (1)/kofia/getFundTotalNetEssetInfo/x1"
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/{name}", "wb") as f:
+            f.write(_body([_fund("20250105", "주식", 1)]))
+    rows = read_bodies(spark, f"{folder}/in+x (1)", "json").select("service", "operation", "capture_id", "page").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([("kofia", "getFundTotalNetEssetInfo", "x1", 1), ("kofia", "getFundTotalNetEssetInfo", "x1", None)], key=str)
+
+
+def test_two_tables_share_a_stage_root(spark, folder):
+    a = typed_rows(_captures(spark, _capture("a", [_fund("20250105", "주식", 1)])), "kofia.fund_net_asset", stage=folder + "/s")
+    b = typed_rows(_captures(spark, _capture("b", [{"basDt": "202501", "trqu": 1}], operation=table("kofia.overseas_derivatives").operation)),
+                   "kofia.overseas_derivatives", stage=folder + "/s")
+    assert a.count() == 1 and b.count() == 1
 
 
 def test_filter_arguments(spark):
