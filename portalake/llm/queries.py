@@ -1,30 +1,5 @@
-"""The queries of this subpackage, by name, and the SQL of those that SQL can express."""
+"""All queries of this subpackage, by name, and their SQL."""
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-from . import common
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register a function of (spark, sf_dir)."""
-    def register(run):
-        QUERIES[name] = lambda spark, sf_dir: run(common.tune(spark), sf_dir)
-        if sql is not None:
-            SQL[name] = sql
-        return run
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-from . import (query_attribution, query_bpe, query_compression, query_contamination, query_jaccard, query_langid, query_maxent,  # noqa: E402,F401
+from . import (query_attribution, query_bpe, query_compression, query_contamination, query_jaccard, query_langid, query_maxent,  # noqa: F401
                query_quality, query_substring, query_urls)
+from .registry import QUERIES, SQL  # noqa: F401

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import attribution
 from .query_bpe import PATTERN, RANKS
-from .queries import query, table
+from .registry import query, table
 
 
 @query("op6_token_attribution")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .queries import query, table
+from .registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN

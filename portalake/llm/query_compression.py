@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import compression
-from .queries import query, table
+from .registry import query, table
 
 
 @query("op5_compression_bands")

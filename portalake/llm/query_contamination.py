@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import contamination
-from .queries import query, table
+from .registry import query, table
 
 _WORDS = r"""[x for x in string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> '']"""
 _SHINGLES = """case when len(w) >= 5 then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] when len(w) > 0 then [array_to_string(w, ' ')] else [] end"""

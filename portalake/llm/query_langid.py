@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import langid
 from .common import remainder
-from .queries import query, table
+from .registry import query, table
 
 
 def learned(docs: DataFrame) -> langid.Model:

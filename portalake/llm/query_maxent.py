@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import maxent
 from .common import remainder, texts
-from .queries import query, table
+from .registry import query, table
 
 
 @query("op10_maxent_scores")

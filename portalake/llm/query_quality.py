@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import quality_model
 from .common import remainder, settle
-from .queries import query, table
+from .registry import query, table
 
 
 @query("op4_quality_discriminant")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import urls
-from .queries import query, table
+from .registry import query, table
 
 
 def derived_list(pages: DataFrame) -> DataFrame:
