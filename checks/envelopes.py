@@ -330,3 +330,49 @@ def _(spark, sf_dir):
     captures = landed.intact(grid_rows(spark, sf_dir), t)
     # 17:20 in Korea: the 17:00 announcement is out.
     return fetch(captures, t.full_name, nx=7, ny=127, now=F.timestamp_seconds(F.lit(1704442800)))
+
+
+# --- the other tables, each fetched from captures that hold another operation as well --------
+
+def _mixed(name: str, beside: str, sql: str, rows=None, columns=None, override: dict | None = None, **arguments) -> None:
+    """Two tables landed together under the same capture ids; only the asked one comes out."""
+    t, other = table(name), table(beside)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        extra = {k: F.expr(v) for k, v in (override or {}).items()}
+        mine = rows(spark, sf_dir) if rows else untidy.vendor_rows(spark, sf_dir, t, ORDERS)
+        captures = landed.intact(mine, t, **extra).unionByName(landed.intact(untidy.vendor_rows(spark, sf_dir, other, ORDERS), other))
+        out = fetch(captures, name, **arguments)
+        return out.select(*columns) if columns else out
+
+    add(f"fetch_{name.replace('.', '_')}", run, sql)
+
+
+def _mixed_orders(name: str, beside: str, where: str = "true", override: dict | None = None, **arguments) -> None:
+    _mixed(name, beside, untidy.clean_sql(table(name), ORDERS, where), override=override, **arguments)
+
+
+for _name in ("credit_balance", "fund_net_asset", "cma_status"):
+    _mixed_orders(f"kofia.{_name}", "kofia.els_elb", "base_date between '1996-01-01' and '1998-12-31'", begin="19960101", end="19981231")
+for _name in ("els_elb", "trust_scale", "overseas_derivatives"):
+    _mixed_orders(f"kofia.{_name}", "kofia.cma_status", "base_ym >= '1997-02'", begin="199702")
+for _name in ("national_holidays", "anniversaries", "solar_terms", "sundry_days"):
+    _mixed_orders(f"holidays.{_name}", "holidays.holidays", """"date" between '1995-01-01' and '1995-12-31'""", year=1995)
+for _name in ("apt_trade", "apt_rent", "apt_presale"):
+    _mixed_orders(f"realestate.{_name}", "realestate.apt_trade_detail", "region_code = 'O' and deal_date between '1996-04-01' and '1996-04-30'",
+                  region_code="O", deal_ym="199604")
+_mixed_orders("midforecast.land", "midforecast.temperature", "region_code = '1-URGENT'", {"params": "map('tmFc', '202401050600')"},
+              region_code="1-URGENT", base_time="202401050600")
+_mixed_orders("airquality.by_station", "airquality.by_sido", "station = 'O'", station="O")
+for _name in ("goods", "services", "foreign"):
+    _mixed(f"procurement.{_name}", "procurement.construction", bids_sql("noticed", "1996-01-01 00:00", "1996-12-31 23:31"), rows=bid_rows,
+           columns=BID_COLUMNS, begin="199601010000", end="199612312330")
+_mixed("weather.ultra_forecast", "weather.nowcast", GRID_SQL, rows=grid_rows, nx=7, ny=127, base_date="20240105", base_time="1700")
+_mixed("weather.nowcast", "weather.ultra_forecast", """
+    select '2024-01-05' as base_date, '1700' as base_time, event_type as category, cast(value as varchar) as observed_value,
+           cast(7 as bigint) as nx, cast(127 as bigint) as ny
+    from events where user_id % 10 = 7 and ts >= timestamp '2024-01-05 12:00' and ts < timestamp '2024-01-06'""",
+       rows=lambda spark, sf_dir: raw_from(
+           read(spark, sf_dir, "events"), key="event_id", baseDate="date_format(ts, 'yyyyMMdd')", baseTime="if(hour(ts) >= 12, '1700', '0500')",
+           category="event_type", obsrValue="value", nx="user_id % 10", ny="127"),
+       nx=7, ny=127, base_date="20240105", base_time="1700")
