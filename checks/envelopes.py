@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +11,12 @@ from checks import landed, untidy
 from checks.registry import Query, add, query, raw_from
 from checks.typed import BID_COLUMNS, GRID_SQL, bid_rows, bids_sql, grid_rows
 from checks.untidy import ORDERS, read
-from portalake import (complete_only, fetch, generic_rows, page_audit, parse_pages, raw_rows,
-                       refused, table)
+from portalake import (clean, complete_only, fetch, generic_rows, page_audit, parse_pages, raw_rows, read_captures,
+                       refused, replace_table, table, typed_rows, upsert_table, vendor_rows, write_captures)
 from portalake.functions import parsers, status
 from portalake.functions.text import redact
 from portalake.schema import Table
+from portalake.session import shared_folder
 
 FUNDS, TRADE, CMA = table("kofia.market_funds"), table("customs.item_trade"), table("kofia.cma_status")
 FETCH, PAGE = landed.FETCH_ROWS, landed.PAGE_ROWS
@@ -376,3 +379,73 @@ _mixed("weather.nowcast", "weather.ultra_forecast", """
            read(spark, sf_dir, "events"), key="event_id", baseDate="date_format(ts, 'yyyyMMdd')", baseTime="if(hour(ts) >= 12, '1700', '0500')",
            category="event_type", obsrValue="value", nx="user_id % 10", ny="127"),
        nx=7, ny=127, base_date="20240105", base_time="1700")
+
+
+# --- decoding, passing on unchanged, and stored tables ----------------------------------------
+
+@query("decode_bodies", """
+    select 'fetch-' || o_orderkey as capture_id, case when o_orderkey % 4 = 3 then 'malformed' else 'ok' end as status,
+           case when o_orderkey % 4 = 3 then 'undecodable body' end as message,
+           case when o_orderkey % 4 <> 3 then o_orderpriority || ' 한글' end as value
+    from orders""")
+def _(spark, sf_dir):
+    """A byte order mark before JSON or XML, plain text, and bytes that are no UTF-8."""
+    body = F.expr("""case o_orderkey % 4
+        when 0 then encode(concat('\\ufeff{"response":{"header":{"resultCode":"00"},"body":{"items":{"item":[{"a":"', o_orderpriority, ' 한글"}]}}}}'), 'UTF-8')
+        when 1 then encode(concat('\\ufeff<response><header><resultCode>00</resultCode></header><body><items><item><a>', o_orderpriority, ' 한글</a></item></items></body></response>'), 'UTF-8')
+        when 2 then encode(concat('{"response":{"header":{"resultCode":"00"},"body":{"items":{"item":[{"a":"', o_orderpriority, ' 한글"}]}}}}'), 'UTF-8')
+        else concat(unhex('C3'), encode(o_orderpriority, 'UTF-8')) end""")
+    df = read(spark, sf_dir, "orders").withColumn("f", F.col("o_orderkey")).withColumn("page", F.lit(1))
+    captures = df.select(*landed.capture_columns(FUNDS, F.lit("")), body.alias("bytes"), F.expr("if(o_orderkey % 4 = 1, 'xml', 'json')").alias("form"))
+    captures = captures.withColumn("body", F.col("bytes")).withColumn("fmt", F.col("form")).drop("bytes", "form")
+    return parse_pages(captures).select("capture_id", "status", "message", F.get("items", F.lit(0))["a"].alias("value"))
+
+
+@query("vendor_rows", """
+    select o_orderkey as k, '19960101' as "basDt", ' ' || o_orderpriority || ' ' as "unknownToken"
+    from orders""")
+def _(spark, sf_dir):
+    """Rows of a declared table as the vendor sent them, unknown tokens and blanks included."""
+    rows = raw_from(read(spark, sf_dir, "orders"), key="o_orderkey", basDt="'19960101'", id="o_orderkey", unknownToken="concat(' ', o_orderpriority, ' ')")
+    raw = F.col("raw")
+    return vendor_rows(landed.intact(rows, CMA), CMA.full_name).select(
+        raw["id"].cast("bigint").alias("k"), raw["basDt"].alias("basDt"), raw["unknownToken"].alias("unknownToken"))
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+
+
+@query("stored_upsert", """
+    select strftime(o_orderdate, '%Y-%m-%d') as base_date, cast(o_orderkey as varchar) as fund_type,
+           case when o_orderkey % 3 = 0 then o_orderkey * 7 else o_orderkey * 10 end as net_asset_total
+    from orders""")
+def _(spark, sf_dir):
+    """Stored captures to a stored table, and a second batch merged into it."""
+    t, folder = table("kofia.fund_net_asset"), _folder(spark)
+    orders = read(spark, sf_dir, "orders")
+    for i, (some, factor) in enumerate((("true", 10), ("o_orderkey % 3 = 0", 7))):
+        rows = raw_from(orders.where(some), key="o_orderkey", basDt="date_format(o_orderdate, 'yyyyMMdd')", ctg="o_orderkey", tstMthdCtg="'a'",
+                        nPptTotAmt=f"o_orderkey * {factor}")
+        captured = F.timestamp_seconds(F.lit(1_700_000_000 + i))
+        # A fetch of the second batch has gaps in its page numbers, so pages are one row each.
+        pages = rows.select(F.col("k").alias("f"), F.lit(1).alias("page"), F.array(landed.json_item(F.col("raw"))).alias("items"))
+        write_captures(pages.select(*landed.capture_columns(t, landed.json_body(F.col("items"), F.lit("1")), captured_at=captured)), f"{folder}/captures-{i}")
+        upsert_table(typed_rows(read_captures(spark, f"{folder}/captures-{i}"), t.full_name, keep=("capture_id", "page", "captured_at", "pos")), f"{folder}/table", t)
+    return spark.read.parquet(f"{folder}/table").select("base_date", "fund_type", "net_asset_total")
+
+
+@query("stored_replace", """
+    select strftime(ts, '%Y-%m-%d') as base_date, cast(event_id as varchar) as category, user_id % 10 as nx,
+           case when user_id % 10 = 3 then 'new' else 'old' end as observed_value
+    from events""")
+def _(spark, sf_dir):
+    """A wide table stored, then one grid cell of every day fetched anew: the other cells stay."""
+    t, folder = table("weather.nowcast"), _folder(spark)
+    for i, (some, value) in enumerate((("true", "old"), ("user_id % 10 = 3", "new"))):
+        rows = raw_from(read(spark, sf_dir, "events").where(some), key="event_id", baseDate="date_format(ts, 'yyyyMMdd')", baseTime="'0500'",
+                        category="event_id", obsrValue=f"'{value}'", nx="user_id % 10", ny="127")
+        rows = clean(rows.withColumns({"capture_id": F.lit(f"c{i}"), "page": F.lit(1), "pos": F.col("k"), "captured_at": F.timestamp_seconds(F.lit(1_700_000_000 + i)),
+                                       "params": F.create_map().cast("map<string,string>")}), t, keep=("capture_id", "page", "pos", "captured_at", "params"))
+        replace_table(rows, f"{folder}/table", t)
+    return spark.read.parquet(f"{folder}/table").select("base_date", "category", "nx", "observed_value")
