@@ -15,13 +15,13 @@ from pyspark.sql import types as T
 WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
                "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 _SPACE = f"[{WHITE_SPACE}]+"
+_TRIMMED = r"(?s)^[!-~](?:.*[!-~])?\z"
 
 
 def strip(c: Column) -> Column:
     """Drop white space, Unicode included, at both ends. Most values begin and end with a plain
     printable character, which is cheaper to see than to trim by the whole set."""
-    plain = F.substring(c, 1, 1).between("!", "~") & F.substring(c, -1, 1).between("!", "~")
-    return F.when(plain, c).otherwise(F.trim(c, F.lit(WHITE_SPACE)))
+    return F.when(c.rlike(_TRIMMED), c).otherwise(F.trim(c, F.lit(WHITE_SPACE)))
 
 
 def words(c: Column) -> Column:

@@ -41,27 +41,33 @@ def _all_present(table: Table) -> Column:
                   F.lit(True))
 
 
-def _too_large(table: Table) -> list[tuple[str, Column]]:
-    """Whole numbers that came out NULL because they pass 64 bits, by column."""
-    return [(f.column, F.col(f.column).isNull() & out_of_range(F.col(f"_{f.column}")))
-            for f in table.fields if f.kind == "int"]
+def _unread(table: Table) -> Column:
+    """Texts of whole-number columns that came out NULL, with the column; one array, so that wide
+    tables don't repeat the test in generated code for each column."""
+    return F.array(*[F.struct(F.lit(f.column).alias("column"), F.when(F.col(f.column).isNull(), F.col(f"_{f.column}")).alias("text"))
+                     for f in table.fields if f.kind == "int"])
+
+
+def _has_whole_numbers(table: Table) -> bool:
+    return any(f.kind == "int" for f in table.fields)
 
 
 def clean(rows: DataFrame, table: Table, keep: tuple[str, ...] = (),
           raw: str = "raw") -> DataFrame:
-    """Typed rows that have their dates and, unless the table is wide, all key parts, and whose
-    whole numbers fit 64 bits; :func:`rejects` has the others."""
-    fits = reduce(lambda a, b: a & ~b[1], _too_large(table), _all_present(table))
-    return _projected(rows, table, keep, raw).where(fits).select(*keep, *table.columns)
+    """Typed rows that have their dates and, unless the table is wide, all key parts. A whole
+    number past 64 bits is NULL here; :func:`rejects` names the row."""
+    typed = project(rows, table, keep, raw)
+    return typed.where(_all_present(table)) if table.required_columns else typed
 
 
 def rejects(rows: DataFrame, table: Table, keep: tuple[str, ...] = (),
             raw: str = "raw") -> DataFrame:
-    """The rows :func:`clean` leaves out: ``reason`` is ``missing`` or ``out of range``, and
-    ``missing`` names the first column that is so."""
+    """The rows :func:`clean` leaves out, ``reason`` being ``missing``, and those of which it could
+    not keep a whole number, ``out of range``; ``missing`` names the first column that is so."""
     lacking = F.coalesce(*[F.when(F.col(c).isNull(), c) for c in table.required_columns],
                          F.lit(None).cast("string"))
-    large = F.coalesce(*[F.when(over, c) for c, over in _too_large(table)], F.lit(None).cast("string"))
+    large = (F.get(F.filter(_unread(table), lambda x: out_of_range(x["text"])), F.lit(0))["column"]
+             if _has_whole_numbers(table) else F.lit(None).cast("string"))
     found = _projected(rows, table, keep, raw).select(*keep, *table.columns, large.alias("_large"), lacking.alias("_lacking"))
     return (found.where(F.col("_large").isNotNull() | F.col("_lacking").isNotNull())
             .select(*keep, *table.columns, F.coalesce("_large", "_lacking").alias("missing"),
