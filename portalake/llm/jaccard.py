@@ -8,13 +8,17 @@ other would share (its credits) are enough to find the pair. Sets of up to six t
 segment, with its one-deletion neighbourhood; sets of up to fifteen have a segment for each
 token; larger ones have segments of two to three tokens.
 
+Only components are asked for, so sets are first compared with the least one of those they
+share a min-hash with: groups of near copies, of any size, are then known in time that grows
+with their sizes, and the index pairs only sets of different components.
+
 The allocation is by cost: empty subsets tell nothing and are not indexed, and a subset that
 more than a few sets hold is not paired as long as the set has credits left without it. Sets
-that run short (made of passages that many texts share, or near copies of very many) go on to
-the finest partition, a segment for each token, in which up to three quarters of a set may be
-passed over. What is short even there is first contracted: members of a crowd are compared
-with its least one by min-hash, and then only tokens which several components share are paired.
-No candidate is dropped: each level passes on exactly what it can't decide.
+that run short (made of passages that many texts share) go on to the finest partition, a
+segment for each token, in which up to three quarters of a set may be passed over. What is
+short even there is contracted by more min-hashes, and then paired by its rarest tokens that
+several components share. No candidate is dropped: each level passes on exactly what it can't
+decide.
 
 Every pair is verified on the shingles themselves. Copies are one set, under the least id.
 """
@@ -211,26 +215,51 @@ def _index(docs: DataFrame, keys_of) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "key long, id long")
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= SENT_ROWS else df
+
+
 def _shared(index: DataFrame, what: str) -> DataFrame:
     """``key, id, crowded`` of the keys that several sets hold, stored."""
     counted = index.withColumn("n", F.count("*").over(W.partitionBy("key")))
     return settle(counted.where("n > 1 and id is not null").select("key", "id", (F.col("n") > CROWD).alias("crowded")), what)
 
 
-def _pairs(shared: DataFrame) -> DataFrame:
-    """``a < b`` of the sets that share a key which is not crowded: at most CROWD to a key."""
-    groups = shared.where(~F.col("crowded")).groupBy("key").agg(F.collect_set("id").alias("ids"))
-    each = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(least(x, y) as a, greatest(x, y) as b))))")
-    return groups.select(F.explode(each).alias("p")).select("p.a", "p.b").distinct()
+def _pairs(shared: DataFrame, group: DataFrame) -> DataFrame:
+    """``a < b`` of the sets that share a key which is not crowded, at most CROWD to a key, and are
+    not in one component of ``group``."""
+    rows = (shared.where(~F.col("crowded")).select("key", "id").join(_small(group, group.count()), "id", "left")
+            .groupBy("key").agg(F.collect_set(F.struct(F.coalesce("component", "id").alias("g"), "id")).alias("m"))
+            .where(F.size("m") > 1))
+    each = F.expr("""filter(flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)),
+        y -> struct(least(x.id, y.id) as a, greatest(x.id, y.id) as b, x.g <> y.g as apart)))), p -> p.apart)""")
+    return rows.select(F.explode_outer(each).alias("p")).where("p is not null").select("p.a", "p.b").distinct()
 
 
 # ---- steps ----------------------------------------------------------------------------------
 
-SETS = "doc_id long, n long, d1 long, d2 long, own long, own_needed long, up long, up_needed long"
+SETS = ("doc_id long, n long, d1 long, d2 long, own long, own_needed long, up long, up_needed long, sketch binary, "
+        "mins array<bigint>")
+#: Min-hashes of a set.
+MINS = 6
+
+
+def min_hashes(tokens: np.ndarray, k: int, seed: int) -> list[int]:
+    """Least values of a set's tokens under k hashes; none of an empty set."""
+    if not len(tokens):
+        return []
+    salts = mix(np.arange(seed * 1000 + 1, seed * 1000 + k + 1, dtype=np.uint64))
+    return [int((mix1(tokens ^ x)).min().view(np.int64)) for x in salts]
+
+
+def mix1(x: np.ndarray) -> np.ndarray:
+    x = x * _M2
+    return (x ^ (x >> np.uint64(31))) * _M3
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """Of each document the size of its set, a 128-bit digest of it, and credits and need by band."""
+    """Of each document the size of its set, a 128-bit digest of it, credits and need by band, a
+    sketch and min-hashes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
         for batch in batches:
@@ -243,18 +272,16 @@ def _sets(docs: DataFrame) -> DataFrame:
             columns = [n, [(d >> 64) - (1 << 63) for d in digests], [(d & (2**64 - 1)) - (1 << 63) for d in digests],
                        np.bincount(who[at_home], minlength=len(n)), needed(n, band(n)),
                        np.bincount(who[~at_home], minlength=len(n)), np.where(up, needed(n, band(n) + 1), 0)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], names=[x.split()[0] for x in SETS.split(", ")])
+            lows = pa.array([min_hashes(s, MINS, 0) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns), pa.array([sketch(s) for s in sets], pa.binary()), lows],
+                                             names=[x.split()[0] for x in SETS.split(", ")])
 
     return docs.mapInArrow(run, SETS)
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= SENT_ROWS else df
-
-
-def sketch(tokens: np.ndarray) -> bytes:
+def sketch(tokens: np.ndarray, cells: int | None = None) -> bytes:
     """Parities of a set's tokens in as many cells as it has tokens, rounded up to a power of 2."""
-    cells = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    cells = cells or (max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64)
     at = (mix(tokens + _M1) & np.uint64(cells - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8)).tobytes()
 
@@ -269,28 +296,20 @@ def differ(a: bytes, b: bytes) -> int:
     return (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
 
 
-def _held(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, sketch, text``."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler()
-        for batch in batches:
-            sets = [shingles(t) for t in string_column(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array([sketch(s) for s in sets], pa.binary()), batch.column(1)], names=["doc_id", "n", "sketch", "text"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sketch binary, text string")
-
-
-def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of which the texts in ``held`` (doc_id, n, sketch, text) link.
-
-    Texts move only for pairs that sizes and sketches, a bit for each token, can't rule out.
-    """
+def _close(pairs: DataFrame, brief: DataFrame) -> DataFrame:
+    """The pairs that sizes and sketches in ``brief`` (doc_id, n, sketch) can't rule out, stored."""
     def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [7 * differ(x, y) <= m + n for m, n, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    rows = (pairs.join(brief.toDF("a", "na", "sa"), "a").join(brief.toDF("b", "nb", "sb"), "b")
+            .where(4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")).select("a", "b", "na", "nb", "sa", "sb"))
+    return settle(rows.mapInArrow(near, "a long, b long"), "close")
+
+
+def _verified(close: DataFrame, held: DataFrame) -> DataFrame:
+    """The pairs of which the texts in ``held`` (doc_id, text) link, stored."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             met: dict[str, set] = {}
@@ -304,15 +323,33 @@ def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
                 keep.append(linked(met[x], met[y]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    brief = held.select("doc_id", "n", "sketch")
-    close = (pairs.join(brief.toDF("a", "na", "sa"), "a").join(brief.toDF("b", "nb", "sb"), "b")
-             .where(4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")).select("a", "b", "na", "nb", "sa", "sb"))
-    close = settle(close.mapInArrow(near, "a long, b long"), "close")
     both = (close.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
     return settle(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct(), "links")
 
 
+def _ends(*pairs: DataFrame) -> DataFrame:
+    out = None
+    for p in pairs:
+        for c in ("a", "b"):
+            one = p.select(F.col(c).alias("doc_id"))
+            out = one if out is None else out.union(one)
+    return out
+
+
+def _texts_of(own: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the ids, stored."""
+    ids = settle(ids.distinct(), "wanted")
+    return settle(own.join(_small(ids, ids.count()), "doc_id").select("doc_id", "text"), "held")
+
+
+def _to_least(signs: DataFrame) -> DataFrame:
+    """``a, b``: each set (``id``) with the least of those it shares a min-hash (``slot, low``) with.
+    Minima are taken before the shuffle; the join back can be split at a hot one."""
+    least = signs.groupBy("slot", "low").agg(F.min("id").alias("b"))
+    return signs.join(least, ["slot", "low"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+
+
 def _short(sets: DataFrame, shared: DataFrame) -> DataFrame:
     """Sets whose credits, without the crowded ones, are fewer than needed in a band."""
     crowded = (shared.where("crowded").groupBy("id", (F.col("key").bitwiseAND(63)).alias("b")).agg(F.count("*").alias("k"))
@@ -325,34 +362,47 @@ def _short(sets: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def _signatures(docs: DataFrame, k: int, seed: int) -> DataFrame:
-    """``slot, least, id``: k min-hashes of each text."""
+    """``slot, low, id``: k min-hashes of each text, under other hashes than MINS."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler()
+        for batch in batches:
+            low = np.array([min_hashes(shingles(t), k, seed + 1) for t in string_column(batch, "text")], np.int64).reshape(-1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(k), batch.num_rows), pa.int32()), pa.array(low),
+                                              pa.array(np.repeat(batch.column(0).to_numpy(), k))], names=["slot", "low", "id"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "slot int, low long, id long")
+
+
+WIDE = 8
+
+
+def _wide_sketches(docs: DataFrame) -> DataFrame:
+    """``id, s0`` to ``s7``: sketches of 512 cells for sets of any size, to compare inside a join."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
         for batch in batches:
-            rows = [[mix(s ^ mix(np.array([seed * 1000 + j], np.uint64))[0]).min() for j in range(k)] for s in (shingles(t) for t in string_column(batch, "text"))]
-            low = np.array(rows, np.uint64).reshape(-1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(k), batch.num_rows), pa.int32()), pa.array(low.view(np.int64)),
-                                              pa.array(np.repeat(batch.column(0).to_numpy(), k))], names=["slot", "least", "id"])
+            v = np.frombuffer(b"".join(sketch(shingles(t), 64 * WIDE) for t in string_column(batch, "text")), np.int64).reshape(-1, WIDE)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(v[:, i])) for i in range(WIDE))], names=["id", *(f"s{i}" for i in range(WIDE))])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "slot int, least long, id long")
+    return docs.select("doc_id", "text").mapInArrow(run, "id long, " + ", ".join(f"s{i} long" for i in range(WIDE)))
 
 
 def _contracted(crowd: DataFrame, links: DataFrame, rounds: int = 3, k: int = 6) -> DataFrame:
-    """Links among the sets in ``crowd`` (doc_id, n, text), enough for their components.
+    """Links among the sets in ``crowd`` (doc_id, n, sketch, text), enough for their components.
 
     A round compares each set with the least of those of its min-hashes, and drops the sets that
     can't link beyond their component any more: those of whose tokens fewer than they would have
     to share are held by two components. What remains after the rounds is paired by its rarest
-    such tokens, as many as a linked pair can't do without.
+    such tokens, as many as a linked pair can't do without; a pair comes out of that join only
+    if sizes and sketches allow it.
     """
     for r in range(rounds + 1):
         if crowd.isEmpty():
             return links
+        brief = crowd.select("doc_id", "n", "sketch")
         if r < rounds:
-            signs = settle(_signatures(crowd, k, r), "signatures")
-            least = signs.groupBy("slot", "least").agg(F.min("id").alias("b"))
-            near = signs.join(least, ["slot", "least"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct()
-            links = settle(links.unionByName(verify(near, crowd)), "links")
+            near = _to_least(settle(_signatures(crowd, k, r), "signatures"))
+            links = settle(links.unionByName(_verified(_close(near, brief), crowd)), "links")
         group = components(links)
         tokens = _tokens(crowd.join(group.withColumnRenamed("id", "doc_id"), "doc_id", "left")
                          .select("doc_id", "n", "text", F.coalesce("component", "doc_id").alias("component")))
@@ -361,14 +411,19 @@ def _contracted(crowd: DataFrame, links: DataFrame, rounds: int = 3, k: int = 6)
         still = tokens.join(open_, "token")
         enough = still.groupBy("id").agg(F.count("*").alias("k"), F.first("n").alias("n")).where(F.col("k") >= F.ceil(F.col("n") * 0.75)).select("id")
         enough = settle(enough, "open")
-        crowd = settle(crowd.join(enough.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), "crowd")
         if r == rounds:
             place = F.row_number().over(W.partitionBy("id").orderBy("times", "token"))
             first = settle(still.join(enough, "id", "left_semi").withColumn("place", place)
-                           .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 0.75) + 1).select("token", "id", "component"), "first")
-            other = first.select("token", F.col("id").alias("b"), F.col("component").alias("other"))
-            pairs = first.withColumnRenamed("id", "a").join(other, "token").where("a < b and component <> other").select("a", "b").distinct()
-            return links.unionByName(verify(pairs, crowd))
+                           .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 0.75) + 1)
+                           .join(settle(_wide_sketches(crowd), "wide"), "id").drop("times", "place"), "first")
+            other = first.select(*(F.col(c).alias(c if c == "token" else f"{c}_b") for c in first.columns))
+            apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(1, WIDE)), F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_b"))))
+            near = (F.col("id") < F.col("id_b")) & (F.col("component") != F.col("component_b"))
+            pairs = (first.join(other, "token")
+                     .where(near & (4 * F.least("n", "n_b") >= 3 * F.greatest("n", "n_b")) & (7 * apart <= F.col("n") + F.col("n_b")))
+                     .select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct())
+            return links.unionByName(_verified(_close(pairs, brief), crowd))
+        crowd = settle(crowd.join(enough.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), "crowd")
     return links
 
 
@@ -402,18 +457,25 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     # Only the first of each group of copies is indexed.
     ids = copies.select("doc_id").distinct()
     own = given.where("doc_id is not null").join(_small(ids, ids.count()), "doc_id", "left_anti")
+    brief = settle(named.join(_small(ids, ids.count()), "doc_id", "left_anti").select("doc_id", "n", "sketch", "mins"), "brief")
+    signs = brief.select(F.col("doc_id").alias("id"), F.posexplode("mins").alias("slot", "low"))
+    brief = brief.select("doc_id", "n", "sketch")
+    close = _close(_to_least(signs), brief)
+    links = _verified(close, _texts_of(own, _ends(close)))
+    group = settle(components(links), "group")
+
     shared = _shared(_index(own, set_keys), "subsets")
-    pairs = settle(_pairs(shared), "pairs")
+    close = _close(_pairs(shared, group), brief)
     short = settle(_short(sets.join(ids, "doc_id", "left_anti"), shared), "short")
-    wanted = settle(pairs.select("a").union(pairs.select("b")).union(short).distinct().toDF("doc_id"), "wanted")
-    held = settle(_held(own.join(_small(wanted, wanted.count()), "doc_id")), "held")
-    links = verify(pairs, held)
+    held = _texts_of(own, _ends(close).union(short))
+    links = links.unionByName(_verified(close, held))
 
     left = held.join(short, "doc_id", "left_semi")
     shared = _shared(_index(left, token_keys), "tokens")
-    links = links.unionByName(verify(_pairs(shared), held))
+    links = links.unionByName(_verified(_close(_pairs(shared, group), brief), held))
     lost = shared.where("crowded").groupBy("id").agg(F.count("*").alias("k")).withColumnRenamed("id", "doc_id")
-    crowd = settle(left.join(lost, "doc_id").where(F.col("k") >= F.ceil(F.col("n") * 0.75)).select("doc_id", "n", "sketch", "text"), "crowd")
+    crowd = settle(left.join(lost, "doc_id").join(brief, "doc_id").where(F.col("k") >= F.ceil(F.col("n") * 0.75))
+                   .select("doc_id", "n", "sketch", "text"), "crowd")
     links = _contracted(crowd, settle(links, "links"))
 
     links = links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))

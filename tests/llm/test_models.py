@@ -151,12 +151,15 @@ def test_probabilities_sum_to_one(docs):
     for context in ([], [b"the"], [b"the", b"cat"], [b"never", b"met"]):
         total = 0.0
         for t in vocabulary:
-            logp, tail, _ = model.score_tokens([[*context, t]])
-            q = 0.0 if tail[-1] < 0 else math.log10(count[t] + 0.1) - model.tail_log[tail[-1]]
-            total += 10 ** (logp[-1] + q)
+            x = model.index([[*context, t]])
+            last = x.at[-1]
+            logp = model.score_tokens(x)[-1]
+            total += 10 ** (logp if x.head[last] >= 0 else logp + math.log10(count[t] + 0.1) - model.tail_log[x.cls[last] - model.shape.head_classes])
         # Each tail class keeps one share for tokens never met.
-        unmet = sum(10 ** (model.class_scores(model.contexts(*[model.index([[*context, b""]])[k] for k in (2, 3)])[:, -1:])[0][0, model.shape.head_classes + k] / math.log(10)
-                    + math.log10(0.1) - model.tail_log[k]) for k in range(3))
+        x = model.index([[*context, b""]])
+        z = model.class_scores(model.contexts(x.mixed[x.at], x.sizes)[:, -1:])[0][0].astype(float)
+        p = np.exp(z) / np.exp(z).sum()
+        unmet = sum(p[model.shape.head_classes + k] * 0.1 / 10 ** model.tail_log[k] for k in range(3))
         assert math.isclose(total + unmet, 1, abs_tol=1e-4)
 
 

@@ -15,7 +15,7 @@ def test_stages():
 def test_odd_rows_through_all_stages(llm, docs, tmp_path):
     prose = "A first sentence that nobody has written before today. A second one follows it closely, as it should. And then a third."
     item = "seven words of a test item here and then some more to make it long"
-    rows = [(1, prose), (2, prose), (3, "Other words entirely, " + prose.upper()), (4, None), (5, ""), (6, "123 !!"), (None, prose), (7, "x " + item + " y"),
+    rows = [(1, prose), (2, prose), (3, "Other words entirely stand here before the rest, so that these two texts differ by a lot of words: " + prose.upper()), (4, None), (5, ""), (6, "123 !!"), (None, prose), (7, "x " + item + " y"),
             (8, "Something short."), (9, "word " * 20_000)]
     llm.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for name, make in (("rows", docs(*rows)), ("none", docs())):
