@@ -27,7 +27,7 @@ NONE = np.int32(2**31 - 1)
 NONE_KEY = np.int64(2**31 - 1) << 16
 LONG_PIECE = 256
 CELLS = 1 << 20
-CACHED_CHARS = 8_000_000
+CACHED_CHARS = 3_000_000
 CHARS_AT_ONCE = 4_000_000
 #: Fixed value: the public byte-level pattern, in which a space always begins a piece if what
 #: stands around it is not white space.

@@ -43,7 +43,7 @@ WHOLE, SINGLE = 6, 15       # largest sizes of the first two kinds of bands
 SEGMENTS = 0.7
 #: A subset that more sets hold is crowded.
 CROWD = 12
-KEYS_AT_ONCE = 4_000_000
+KEYS_AT_ONCE = 1_000_000
 SENT_ROWS = 1_000_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
