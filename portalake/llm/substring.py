@@ -3,9 +3,10 @@
 A text is cut into units (clauses, lines or paragraphs) and each is normalised. What is hashed
 is a unit, or, if it has too few words, the unit with as many of the next ones as it takes: a
 short clause that two texts share by chance is no repeat, and a passage is found wherever it
-stands in a line. For every digest the earliest occurrence, by document id and then by place,
-is kept; the units of all later ones are taken out. What was taken out is reported with its
-offsets in the original text.
+stands in a line. By ``passage``, the default, whole lines are hashed besides, each on its own
+whatever its words; very short ones are repeats only if many documents hold them. For every
+digest the earliest occurrence, by document id and then by place, is kept; all later ones are
+taken out. What was taken out is reported with its offsets in the original text.
 """
 
 from __future__ import annotations
@@ -24,7 +25,10 @@ from .common import settle, string_column
 #: What stands between two units.
 BETWEEN = {"clause": re.compile(r"(?<=[.!?,;:])[ \t]+|\s*\n\s*"), "line": re.compile(r"\s*\n\s*"),
            "paragraph": re.compile(r"\s*\n[ \t]*\n\s*")}
+BETWEEN["passage"] = BETWEEN["clause"]
 LAST = 2**63 - 1
+#: A line of fewer characters is a repeat only if so many documents hold it.
+SHORT, COMMON = 12, 10
 
 
 def spans(text: str, unit: str) -> list[tuple[int, int]]:
@@ -83,6 +87,38 @@ def cut(text: str, repeats: Iterable[int], unit: str, least_words: int) -> tuple
     return "".join([*parts, text[at:]]), offsets, len(found), int(gone.sum())
 
 
+def pieces(text: str, unit: str, least_words: int) -> dict[tuple[int, int], str]:
+    """What is hashed of a text: start and end of each piece, and the piece as compared."""
+    found, units = normal_units(text, unit)
+    out = {(found[i][0], found[j][1]): " ".join(units[i:j + 1]) for i, j in windows(units, least_words)}
+    if unit == "passage":
+        for a, b in spans(text, "line"):
+            if (a, b) not in out and (line := normal(text[a:b])):
+                out[a, b] = line
+    return out
+
+
+def cut_spans(text: str, repeats: Iterable[tuple[int, int]], unit: str) -> tuple[str, list[tuple[int, int]], int, int]:
+    """As ``cut``, of the pieces that start and end at ``repeats``; units count as removed if any
+    of their text is."""
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(repeats):
+        if merged and (a <= merged[-1][1] or text[merged[-1][1]:a].isspace()):
+            merged[-1] = merged[-1][0], max(b, merged[-1][1])
+        else:
+            merged.append((a, b))
+    found, parts, at = spans(text, unit), [], 0
+    for a, b in merged:
+        rest = len(text) - b - len(text[b:].lstrip()) if b < len(text) else 0
+        last = b + rest == len(text)
+        parts.append(text[at:a].rstrip() if last else text[at:a])
+        at = b + rest
+    begins, ends = (np.array([x[k] for x in merged], np.int64) for k in (0, 1))
+    touched = sum(bool(k < len(merged) and begins[k] < b) for (_, b), k in
+                  zip(found, np.searchsorted(ends, [a for a, _ in found], "right").tolist(), strict=True)) if merged else 0
+    return "".join([*parts, text[at:]]), merged, len(found), touched
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """rank, text_key, text. Rows are known by the pair, as ids may be null (they rank last) or
     repeat: rows alike in both are one document seen again."""
@@ -90,47 +126,49 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("rank"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def repeats(docs: DataFrame, unit: str = "clause", least_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``rank, text_key, places``: the units of each document at which a window begins that
-    occurred before.
+def repeats(docs: DataFrame, unit: str = "passage", least_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``rank, text_key, places``: start and end of the pieces of each document that occurred
+    before.
 
     The first aggregation keeps one number for each digest and is summed up before the shuffle,
     so a line that a third of all documents hold sends one row from each task. Only digests met
     more than once come to the join, which Spark can split at a hot digest. ``places`` is as
-    long as one document has units.
+    long as one document has pieces.
     """
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rank, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            row, place, high, low, first = [], [], [], [], []
+            row, begin, end, high, low, first, short = [], [], [], [], [], [], []
             for i, text in enumerate(string_column(batch, "text")):
                 seen = set()
-                units = normal_units(text, unit)[1]
-                for k, j in windows(units, least_words):
-                    h = xxhash.xxh3_128_intdigest(" ".join(units[k:j + 1]))
+                for (a, b), piece in sorted(pieces(text, unit, least_words).items()):
+                    h = xxhash.xxh3_128_intdigest(piece)
                     row.append(i)
-                    place.append(k)
+                    begin.append(a)
+                    end.append(b)
                     high.append((h >> 64) - (1 << 63))
                     low.append((h & 0xFFFFFFFF) - (1 << 31))
                     first.append(h not in seen)
+                    short.append(unit == "passage" and len(piece) < SHORT)
                     seen.add(h)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rank[row] if row else rank[:0]), pa.array(key[row] if row else key[:0]), pa.array(place, pa.int32()),
-                 pa.array(high, pa.int64()), pa.array(low, pa.int32()), pa.array(first, pa.bool_())],
-                names=["rank", "text_key", "place", "high", "low", "first"])
+                [pa.array(rank[row] if row else rank[:0]), pa.array(key[row] if row else key[:0]), pa.array(begin, pa.int32()), pa.array(end, pa.int32()),
+                 pa.array(high, pa.int64()), pa.array(low, pa.int32()), pa.array(first, pa.bool_()), pa.array(short, pa.bool_())],
+                names=["rank", "text_key", "begin", "end", "high", "low", "first", "short"])
 
-    units = _keyed(docs, id_col, text_col).mapInArrow(digest, "rank long, text_key long, place int, high long, low int, first boolean")
-    met = settle(units.groupBy("high", "low").agg(F.min("rank").alias("earliest"), F.count("*").alias("n"))
-                 .where("n > 1").select("high", "low", "earliest"), "met")
+    units = _keyed(docs, id_col, text_col).mapInArrow(digest, "rank long, text_key long, begin int, end int, high long, low int, first boolean, short boolean")
+    met = settle(units.groupBy("high", "low", "short").agg(F.min("rank").alias("earliest"), F.count("*").alias("n"), F.count_if("first").alias("held"))
+                 .where(F.when(F.col("short"), F.col("held") >= COMMON).otherwise(F.col("n") > 1)).select("high", "low", "earliest"), "met")
     again = units.join(met, ["high", "low"]).where(~((F.col("rank") == F.col("earliest")) & F.col("first")))
-    return settle(again.groupBy("rank", "text_key").agg(F.collect_set("place").alias("places")), "repeats")
+    return settle(again.groupBy("rank", "text_key").agg(F.collect_set(F.struct("begin", "end")).alias("places")), "repeats")
 
 
-def dedup(docs: DataFrame, unit: str = "clause", least_words: int = 8, id_col: str = "doc_id", text_col: str = "text",
+def dedup(docs: DataFrame, unit: str = "passage", least_words: int = 8, id_col: str = "doc_id", text_col: str = "text",
           details: str = "dedup") -> DataFrame:
     """``docs`` with repeats cut out of ``text_col``, and a struct ``details`` of ``n_units,
     n_removed, removed`` (array of start and end in the original text), in place of a column of
-    that name. Every row stays, also if nothing of its text does.
+    that name. Units by ``passage`` are clauses, and count as removed if any of their text is.
+    Every row stays, also if nothing of its text does.
 
     The earliest occurrence is that of the smallest id, and in a document the first; within one
     document later copies go too. A null text stays null and has no units; an empty one neither.
@@ -146,7 +184,7 @@ def dedup(docs: DataFrame, unit: str = "clause", least_words: int = 8, id_col: s
     result = "text string, n_units int, n_removed int, removed array<struct<start:int,end:int>>"
 
     def run(texts, places):
-        out = [cut(t, p if p is not None else (), unit, least_words) for t, p in zip(texts.to_pylist(), places.to_pylist(), strict=True)]
+        out = [cut_spans(t, [(x["begin"], x["end"]) for x in p or ()], unit) for t, p in zip(texts.to_pylist(), places.to_pylist(), strict=True)]
         ends = np.concatenate(([0], np.cumsum([len(o[1]) for o in out]))).astype(np.int32)
         pairs = [s for o in out for s in o[1]]
         pair = pa.StructArray.from_arrays([pa.array([s[0] for s in pairs], pa.int32()), pa.array([s[1] for s in pairs], pa.int32())], names=["start", "end"])

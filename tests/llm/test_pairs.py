@@ -151,6 +151,23 @@ def test_a_passage_inside_a_line_goes_and_the_rest_stays(docs):
     assert substring.dedup(docs()).count() == 0
 
 
+def test_whole_lines_go_whatever_their_words(docs):
+    rng = random.Random(17)
+    lines = ["And therhean is the is esndha.", "All rights reserved."]
+    rows = [(i, f"{prose(rng, 20)}.\n{lines[i % 2]}\n{prose(rng, 20)}.\n{'And ornd.' if i < 14 else 'Me and.'}") for i in range(18)]
+    rows.append((20, f"{prose(rng, 20)}\n  all   RIGHTS reserved."))
+    for r in substring.dedup(docs(*rows)).collect():
+        before = dict(rows)[r.doc_id].split("\n")
+        if r.doc_id == 20:
+            want = before[:1]
+        elif r.doc_id < 14:      # held by 14 documents; the other short line only by 4
+            want = [before[0], *([before[1]] if r.doc_id < 2 else []), before[2], *([before[3]] if r.doc_id == 0 else [])]
+        else:
+            want = [before[0], before[2], before[3]]
+        assert r.text == "\n".join(want), r.doc_id
+        assert (r.dedup.n_removed > 0) == (r.text != dict(rows)[r.doc_id])
+
+
 # --- contamination -------------------------------------------------------------------------
 
 def test_search_by_brute_force(llm, docs):
