@@ -4,9 +4,11 @@ A text is cut into units (clauses, lines or paragraphs) and each is normalised.
 is a unit, or, if it has too few words, the unit with as many of the next ones as it takes: a
 short clause that two texts share by chance is no repeat, and a passage is found wherever it
 stands in a line. By ``passage``, the default, whole lines are hashed besides, each on its own
-whatever its words; very short ones are repeats only if many documents hold them. For every
-digest the earliest occurrence, by document id and then by place, is kept; all later ones are
-taken out. What was taken out is reported with its offsets in the original text.
+whatever its words; very short ones are repeats only if many documents hold them. And runs of
+twelve words are hashed wherever the words themselves say so (winnowing), whatever marks or line
+ends stand in them or don't. For every digest the earliest occurrence, by document id and then
+by place, is kept; all later ones are taken out. What was taken out is reported with its offsets
+in the original text.
 """
 
 from __future__ import annotations
@@ -29,6 +31,25 @@ BETWEEN["passage"] = BETWEEN["clause"]
 LAST = 2**63 - 1
 #: A line of fewer characters is a repeat only if so many documents hold it.
 SHORT, COMMON = 12, 10
+#: Words of a run, and starts of runs of which one is hashed: runs overlap where many follow each
+#: other, and texts that share RUN + CHOICE - 1 words share a hashed run at most CHOICE - 1 words
+#: from either end.
+RUN = CHOICE = 12
+#: Words of texts hashed at once, about.
+WORDS_HELD = 200_000
+
+
+def _kinds() -> np.ndarray:
+    """0 for what stands in words, 1 for white space, 2 for scripts without spaces, in which each
+    character is a word."""
+    out = np.zeros(0x110000, np.uint8)
+    out[[i for i in range(0x3001) if chr(i).isspace()]] = 1
+    for a, b in ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3001, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)):
+        out[a:b + 1] = 2
+    return out
+
+
+KINDS = _kinds()
 
 
 def spans(text: str, unit: str) -> list[tuple[int, int]]:
@@ -92,12 +113,74 @@ def pieces(text: str, unit: str, least_words: int) -> dict[tuple[int, int], str]
     found, units = normal_units(text, unit)
     out = {(found[i][0], found[j][1]): " ".join(units[i:j + 1]) for i, j in windows(units, least_words)}
     if unit == "passage":
+        # Also those that end at a unit, for the last units of a passage.
+        n = len(units)
+        for i, j in ((n - 1 - j, n - 1 - i) for i, j in windows(units[::-1], least_words)):
+            if (found[i][0], found[j][1]) not in out:
+                out[found[i][0], found[j][1]] = " ".join(units[i:j + 1])
         for a, b in spans(text, "line"):
             if (a, b) not in out and (line := normal(text[a:b])):
                 out[a, b] = line
     return out
 
 
+def word_spans(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Starts and ends of the words, and the words as compared."""
+    kind = KINDS[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    word, alone = kind != 1, kind == 2
+    breaks = np.ones(len(kind) + 1, bool)
+    breaks[1:-1] = (word[1:] != word[:-1]) | alone[1:] | alone[:-1]
+    starts = np.flatnonzero(breaks[:-1] & word)
+    ends = np.flatnonzero(breaks[1:] & word) + 1
+    if not alone.any():
+        lowered = text.lower().split()
+        if len(lowered) == len(starts):
+            return starts, ends, lowered
+    return starts, ends, [text[a:b].lower() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def _over(v: np.ndarray, n: int, least: bool) -> np.ndarray:
+    """The least or greatest of each ``n`` neighbours."""
+    pick, held, left = np.minimum if least else np.maximum, 1, n
+    while held * 2 <= left:
+        v = pick(v[:-held], v[held:])
+        held *= 2
+    return pick(v[:len(v) - (n - held)], v[n - held:]) if n > held else v
+
+
+def _mix(v: np.ndarray) -> np.ndarray:
+    v = (v ^ (v >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return v ^ (v >> np.uint64(32))
+
+
+def runs(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Text number, start, end, and two hashes of the chosen runs of words, in order. Of CHOICE runs
+    in turn the one with the least hash is chosen, so the choice depends on their words alone."""
+    spans_of, hashes = [], []
+    for t in texts:
+        a, b, found = word_spans(t)
+        spans_of.append((a, b))
+        hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
+    sizes = np.array([len(h) for h in hashes], np.int64)
+    none = np.zeros(0, np.int64)
+    if sizes.sum() < RUN + CHOICE - 1:
+        return none, none, none, none, none
+    word, owner = np.concatenate(hashes), np.repeat(np.arange(len(texts)), sizes)
+    n = len(word) - RUN + 1
+    one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    for k in range(RUN):
+        one = one * np.uint64(0x9E3779B97F4A7C15) + word[k:k + n]
+        two = two * np.uint64(0xC2B2AE3D27D4EB4F) + (word[k:k + n] >> np.uint64(7))
+    one, two = _mix(one), _mix(two)
+    # The least of each CHOICE runs of one text, or 0; chosen is what is the least of some.
+    least = _over(one, CHOICE, True)
+    least[owner[:len(least)] != owner[RUN + CHOICE - 2:]] = 0
+    edge = np.zeros(CHOICE - 1, np.uint64)
+    at = np.flatnonzero((_over(np.concatenate([edge, least, edge]), CHOICE, False) == one) & (owner[:n] == owner[RUN - 1:]))
+    starts, ends = (np.concatenate([x[k] for x in spans_of]) for k in (0, 1))
+    return owner[at], starts[at], ends[at + RUN - 1], one[at].view(np.int64), two[at].view(np.int64)
+
+
 def cut_spans(text: str, repeats: Iterable[tuple[int, int]], unit: str) -> tuple[str, list[tuple[int, int]], int, int]:
     """As ``cut``, of the pieces that start and end at ``repeats``; units count as removed if any
     of their text is."""
@@ -156,6 +239,28 @@ def repeats(docs: DataFrame, unit: str = "passage", least_words: int = 8, id_col
                  pa.array(high, pa.int64()), pa.array(low, pa.int32()), pa.array(first, pa.bool_()), pa.array(short, pa.bool_())],
                 names=["rank", "text_key", "begin", "end", "high", "low", "first", "short"])
 
+            if unit == "passage":
+                yield from digest_runs(rank, key, string_column(batch, "text"))
+
+    def digest_runs(rank, key, texts: list[str]) -> Iterator[pa.RecordBatch]:
+        at = 0
+        while at < len(texts):
+            upto, size = at, 0
+            while upto < len(texts) and (upto == at or size + len(texts[upto]) <= 6 * WORDS_HELD):
+                size += len(texts[upto])
+                upto += 1
+            owner, begin, end, high, low = runs(texts[at:upto])
+            owner = owner + at
+            first = np.zeros(len(owner), bool)
+            order = np.lexsort((begin, high, owner))
+            o, h = owner[order], high[order]
+            first[order] = np.concatenate(([True], (o[1:] != o[:-1]) | (h[1:] != h[:-1])))[:len(order)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rank[owner]), pa.array(key[owner]), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(high),
+                 pa.array(low.astype(np.int32)), pa.array(first), pa.array(np.zeros(len(owner), bool))],
+                names=["rank", "text_key", "begin", "end", "high", "low", "first", "short"])
+            at = upto
+
     units = _keyed(docs, id_col, text_col).mapInArrow(digest, "rank long, text_key long, begin int, end int, high long, low int, first boolean, short boolean")
     met = settle(units.groupBy("high", "low", "short").agg(F.min("rank").alias("earliest"), F.count("*").alias("n"), F.count_if("first").alias("held"))
                  .where(F.when(F.col("short"), F.col("held") >= COMMON).otherwise(F.col("n") > 1)).select("high", "low", "earliest"), "met")

@@ -168,6 +168,42 @@ def test_whole_lines_go_whatever_their_words(docs):
         assert (r.dedup.n_removed > 0) == (r.text != dict(rows)[r.doc_id])
 
 
+def run_of(rng, n, script):
+    """A run of n words without a mark."""
+    if script == "spaced":
+        return prose(rng, n)
+    if script == "ideographs":
+        return "".join(chr(rng.randint(0x4E00, 0x8FFF)) for _ in range(n))
+    return " ".join("".join(chr(rng.randint(0x915, 0x939)) for _ in range(4)) for _ in range(n))
+
+
+@pytest.mark.parametrize("script", ["spaced", "ideographs", "devanagari"])
+@pytest.mark.parametrize("mark", ["", ". "])
+def test_a_run_of_50_words_without_marks_goes(docs, script, mark):
+    rng = random.Random(27)
+    gap = "" if script == "ideographs" else " "
+    run = run_of(rng, 25, script) + (mark or gap) + run_of(rng, 25, script)
+    rows = [(i, f"{run_of(rng, 40, script)}{gap}{run}{gap}{run_of(rng, 40, script)}") for i in range(12)]
+    got = {r.doc_id: r for r in substring.dedup(docs(*rows)).collect()}
+    assert got[0].text == rows[0][1] and got[0].dedup.removed == []
+    for i, text in rows[1:]:
+        a = text.index(run)
+        taken = [p for s, e in got[i].dedup.removed for p in range(s, e)]
+        assert all(a <= p < a + len(run) for p in taken), "only shared words go"
+        left = run[:min(taken) - a], run[max(taken) + 1 - a:]
+        assert all(len(substring.word_spans(x)[2]) < substring.CHOICE for x in left)
+        assert max(taken) + 1 - min(taken) == len(taken)
+
+
+def test_short_clauses_at_the_end_of_a_passage_go(docs):
+    rng = random.Random(37)
+    passage = f"{prose(rng, 10)}. {prose(rng, 9)}. {prose(rng, 3)}."
+    rows = [(i, f"{prose(rng, 9)}. {passage} {prose(rng, 9)}.") for i in range(3)]
+    for r in substring.dedup(docs(*rows)).collect():
+        text = dict(rows)[r.doc_id]
+        assert r.text == (text if r.doc_id == 0 else text.replace(passage + " ", ""))
+
+
 # --- contamination -------------------------------------------------------------------------
 
 def test_search_by_brute_force(llm, docs):
