@@ -3,14 +3,15 @@
 A text that zstandard makes much smaller than texts of its length usually get repeats itself;
 one that it hardly makes smaller is noise (encoded data, random characters). Short texts
 compress less, so the limits depend on the length. The whole text is judged, and each chunk of
-a fixed number of bytes, so that a repetitive or random stretch inside a long text counts too.
+a fixed number of bytes, so that a repetitive or random stretch inside a long text counts too,
+however small a share of the text it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import pairwise
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +38,25 @@ class Bands:
         (64, 0.0, 2.0), (128, 0.9, 2.5), (256, 1.1, 2.8), (512, 1.2, 3.0), (1024, 1.35, 3.3),
         (4096, 1.45, 3.7), (16384, 1.5, 4.2))
     chunk_bytes: int = 4096
-    chunk: tuple[float, float] = (1.4, 4.5)
-    #: The text is rejected if more than this share of its chunks lies outside.
+    #: The same of a chunk; the last one of a text has from half its size to half as much again.
+    chunk: tuple[tuple[int, float, float], ...] = ((1024, 1.3, 4.0), (4096, 1.4, 4.5))
+    #: The text is rejected if more than this share of its chunks lies outside, or so many in turn.
     bad_chunks: float = 0.25
+    bad_in_turn: int = 2
     level: int = 3
 
-    def limits(self, n: int) -> tuple[float, float]:
+    def limits(self, n: int, chunk: bool = False) -> tuple[float, float]:
         low, high = 0.0, float("inf")
-        for least, a, b in self.whole:
+        for least, a, b in self.chunk if chunk else self.whole:
             if n >= least:
                 low, high = a, b
         return low, high
 
+    def rejects(self, bad: list[bool]) -> bool:
+        """Whether a text is rejected whose chunks are outside where ``bad`` is true."""
+        in_turn = max((len(list(g)) for k, g in groupby(bad) if k), default=0)
+        return sum(bad) > self.bad_chunks * len(bad) or in_turn >= self.bad_in_turn
+
 
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of one text."""
@@ -89,16 +97,16 @@ class Judge:
         b, n = self.bands, len(raw)
         ratio = self.ratio(raw)
         cuts = [*range(0, max(1, n - b.chunk_bytes // 2), b.chunk_bytes), n]
-        each = [self.ratio(raw[x:y]) for x, y in pairwise(cuts)] if n > b.chunk_bytes else []
-        over, under = sum(r > b.chunk[1] for r in each), sum(r < b.chunk[0] for r in each)
+        each = [(self.ratio(raw[x:y]), *b.limits(y - x, chunk=True)) for x, y in pairwise(cuts)] if n > b.chunk_bytes else []
+        over, under = [r > high for r, _, high in each], [r < low for r, low, _ in each]
         low, high = b.limits(n)
-        if ratio > high or over > b.bad_chunks * len(each):
+        if ratio > high or b.rejects(over):
             verdict = "repetitive"
-        elif ratio < low or under > b.bad_chunks * len(each):
+        elif ratio < low or b.rejects(under):
             verdict = "random"
         else:
             verdict = "ok"
-        return n, ratio, len(each), over, under, verdict
+        return n, ratio, len(each), sum(over), sum(under), verdict
 
 
 def judge(docs: DataFrame, bands: Bands = Bands(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

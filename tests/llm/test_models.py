@@ -51,6 +51,23 @@ def test_verdicts(docs):
     assert compression.judge(docs()).count() == 0
 
 
+def test_a_bad_stretch_in_a_long_text_counts():
+    rng = np.random.default_rng(5)
+    judge = compression.Judge(compression.Bands())
+    noise = "".join(map(chr, rng.integers(33, 127, 16_000)))
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(700)]
+    clean = " ".join(words[i] for i in rng.integers(0, 700, 60_000))
+    assert judge(clean.encode())[-1] == "ok"
+    for stretch, verdict in ((noise, "random"), ("so it goes " * 1600, "repetitive")):
+        text = clean[:100_000] + stretch + clean[100_000:]
+        assert len(stretch) < 0.06 * len(text) and judge(text.encode())[-1] == verdict
+
+
+def test_chunk_limits_follow_the_chunks_length():
+    bands = compression.Bands()
+    assert bands.limits(2048, chunk=True) == (1.3, 4.0) and bands.limits(4096, chunk=True) == (1.4, 4.5)
+
+
 @data
 def test_clean_documents_are_kept(llm):
     got = QUERIES["op5_compression_bands"](llm, SF).join(llm.read.parquet(SF + "/labels.parquet"), "doc_id")
