@@ -453,9 +453,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sets = settle(_sets(given), "sets")
     named = sets.where("doc_id is not null and n > 0")
     first = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"))
-    copies = settle(named.join(first, ["d1", "d2"]).where("doc_id <> first").select("doc_id", F.col("first")).distinct(), "copies")
-    # Only the first of each group of copies is indexed.
-    ids = copies.select("doc_id").distinct()
+    marked = settle(named.join(first, ["d1", "d2"]).groupBy("doc_id")
+                    .agg(F.collect_set(F.when(F.col("doc_id") != F.col("first"), F.col("first"))).alias("firsts"), F.bool_or(F.col("doc_id") == F.col("first")).alias("own"))
+                    .where(F.size("firsts") > 0), "copies")
+    copies = marked.select("doc_id", F.explode("firsts").alias("first"))
+    # Only the first of each group of copies is indexed. An id with several texts is left out if
+    # all of them are copies.
+    ids = marked.where(~F.col("own")).select("doc_id")
     own = given.where("doc_id is not null").join(_small(ids, ids.count()), "doc_id", "left_anti")
     brief = settle(named.join(_small(ids, ids.count()), "doc_id", "left_anti").select("doc_id", "n", "sketch", "mins"), "brief")
     signs = brief.select(F.col("doc_id").alias("id"), F.posexplode("mins").alias("slot", "low"))

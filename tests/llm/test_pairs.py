@@ -78,6 +78,15 @@ def test_odd_rows(docs):
     assert jaccard.join(docs()).count() == 0
 
 
+def test_an_id_with_a_copied_text_keeps_the_links_of_its_other_text(docs):
+    rng = random.Random(13)
+    a, b = prose(rng, 80), prose(rng, 80)
+    near = b.rsplit(" ", 1)[0]
+    assert jaccard.linked(jaccard.exact(b), jaccard.exact(near)) and not jaccard.linked(jaccard.exact(a), jaccard.exact(b))
+    got = sorted((r.doc_id, r.component_id) for r in jaccard.join(docs((1, a), (5, a), (5, b), (9, near))).collect())
+    assert got == [(1, 1), (5, 1), (5, 1), (9, 1)]
+
+
 def test_sketches_never_rule_out_a_pair():
     rng, shingles = random.Random(4), jaccard.Shingler()
     for _ in range(200):
