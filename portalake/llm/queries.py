@@ -1,5 +1,5 @@
 """All queries of this subpackage, by name, and their SQL."""
 
 from . import (query_attribution, query_bpe, query_compression, query_contamination, query_jaccard, query_langid, query_maxent,  # noqa: F401
-               query_quality, query_substring, query_urls)
+               query_negatives, query_quality, query_substring, query_urls)
 from .registry import QUERIES, SQL  # noqa: F401
