@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
+from ..session import shared_folder, tidied  # noqa: F401
+
 #: What counts as white space between words, as a Java character class.
 SPACES = r"[\x20\x09-\x0D]"
 
@@ -22,19 +24,10 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, where that is
-    unset, one beside the warehouse."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch").rstrip("/")
-
-
 def settle(df: DataFrame, what: str) -> DataFrame:
-    """Rows that later steps use more than once, computed once: written as Parquet to the shared
-    folder and read back. They outlive a lost executor, and the lineage ends there."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Rows that later steps use more than once, computed once and stored in the shared folder.
+    They outlive a lost executor, and the lineage ends there."""
+    return session.settle(df, f"llm-{what}")
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

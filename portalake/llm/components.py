@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import settle, tidied
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,6 +16,10 @@ def components(links: DataFrame) -> DataFrame:
     before the shuffle, and the join back can be split at a node of very many links. Null ends
     and links of an id with itself are left out; without links the result is empty.
     """
+    return tidied(lambda: _components(links), links.sparkSession)
+
+
+def _components(links: DataFrame) -> DataFrame:
     edges = settle(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
     while True:

@@ -34,10 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import settle, string_column, texts, words
+from . import rare
+from .common import settle, string_column, texts, tidied, words
 from .components import components
 
-SHINGLE = 5
+SHINGLE, PERCENT = 5, 75
 WHOLE, SINGLE = 6, 15       # largest sizes of the first two kinds of bands
 #: Segments of a band from L to 2L: this times L.
 SEGMENTS = 0.7
@@ -45,6 +46,8 @@ SEGMENTS = 0.7
 CROWD = 12
 KEYS_AT_ONCE = 1_000_000
 SENT_ROWS = 1_000_000
+#: Shingles that sets under verification hold together, a pair's own aside.
+HELD = 500_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -313,13 +316,15 @@ def _verified(close: DataFrame, held: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             met: dict[str, set] = {}
-            keep = []
+            keep, held = [], 0
             for x, y in zip(string_column(batch, "text_a"), string_column(batch, "text_b"), strict=True):
-                if len(met) > 200:
+                if held > HELD:
                     met.clear()
+                    held = 0
                 for t in (x, y):
                     if t not in met:
                         met[t] = exact(t)
+                        held += len(met[t])
                 keep.append(linked(met[x], met[y]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -373,28 +378,14 @@ def _signatures(docs: DataFrame, k: int, seed: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "slot int, low long, id long")
 
 
-WIDE = 8
-
-
-def _wide_sketches(docs: DataFrame) -> DataFrame:
-    """``id, s0`` to ``s7``: sketches of 512 cells for sets of any size, to compare inside a join."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler()
-        for batch in batches:
-            v = np.frombuffer(b"".join(sketch(shingles(t), 64 * WIDE) for t in string_column(batch, "text")), np.int64).reshape(-1, WIDE)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(v[:, i])) for i in range(WIDE))], names=["id", *(f"s{i}" for i in range(WIDE))])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, " + ", ".join(f"s{i} long" for i in range(WIDE)))
-
-
 def _contracted(crowd: DataFrame, links: DataFrame, rounds: int = 3, k: int = 6) -> DataFrame:
     """Links among the sets in ``crowd`` (doc_id, n, sketch, text), enough for their components.
 
     A round compares each set with the least of those of its min-hashes, and drops the sets that
     can't link beyond their component any more: those of whose tokens fewer than they would have
     to share are held by two components. What remains after the rounds is paired by its rarest
-    such tokens, as many as a linked pair can't do without; a pair comes out of that join only
-    if sizes and sketches allow it.
+    such tokens (``rare``), as many as a linked pair can't do without; a pair comes out of that
+    join only if sizes and sketches allow it, and about once.
     """
     for r in range(rounds + 1):
         if crowd.isEmpty():
@@ -404,41 +395,16 @@ def _contracted(crowd: DataFrame, links: DataFrame, rounds: int = 3, k: int = 6)
             near = _to_least(settle(_signatures(crowd, k, r), "signatures"))
             links = settle(links.unionByName(_verified(_close(near, brief), crowd)), "links")
         group = components(links)
-        tokens = _tokens(crowd.join(group.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-                         .select("doc_id", "n", "text", F.coalesce("component", "doc_id").alias("component")))
-        tokens = settle(tokens, "tokens")
-        open_ = tokens.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("times")).where("x <> y").select("token", "times")
-        still = tokens.join(open_, "token")
-        enough = still.groupBy("id").agg(F.count("*").alias("k"), F.first("n").alias("n")).where(F.col("k") >= F.ceil(F.col("n") * 0.75)).select("id")
-        enough = settle(enough, "open")
+        marked = (crowd.join(group.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+                  .select("doc_id", "n", "text", F.coalesce("component", "doc_id").alias("component")))
+        still, enough = rare.open_sets(marked, Shingler, PERCENT)
         if r == rounds:
-            place = F.row_number().over(W.partitionBy("id").orderBy("times", "token"))
-            first = settle(still.join(enough, "id", "left_semi").withColumn("place", place)
-                           .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 0.75) + 1)
-                           .join(settle(_wide_sketches(crowd), "wide"), "id").drop("times", "place"), "first")
-            other = first.select(*(F.col(c).alias(c if c == "token" else f"{c}_b") for c in first.columns))
-            apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(1, WIDE)), F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_b"))))
-            near = (F.col("id") < F.col("id_b")) & (F.col("component") != F.col("component_b"))
-            pairs = (first.join(other, "token")
-                     .where(near & (4 * F.least("n", "n_b") >= 3 * F.greatest("n", "n_b")) & (7 * apart <= F.col("n") + F.col("n_b")))
-                     .select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct())
+            pairs = rare.pairs(marked, still, enough, Shingler, PERCENT)
             return links.unionByName(_verified(_close(pairs, brief), crowd))
-        crowd = settle(crowd.join(enough.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), "crowd")
+        crowd = settle(crowd.join(enough.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), "crowd")
     return links
 
 
-def _tokens(docs: DataFrame) -> DataFrame:
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler()
-        for batch in batches:
-            sets = [shingles(t) for t in string_column(batch, "text")]
-            flat, who = token_keys(sets)
-            at = pa.array(who)
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), *(batch.column(i).take(at) for i in (0, 1, 3))], names=["token", "id", "n", "component"])
-
-    return docs.mapInArrow(run, "token long, id long, n long, component long")
-
-
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id``, the least id reachable by
     links.
@@ -449,6 +415,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     one document, linked by any of its texts. An empty table gives none; other columns aren't
     read.
     """
+    return tidied(lambda: _join(docs, id_col, text_col), docs.sparkSession)
+
+
+def _join(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     given = texts(docs, id_col, text_col)
     sets = settle(_sets(given), "sets")
     named = sets.where("doc_id is not null and n > 0")
