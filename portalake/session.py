@@ -82,3 +82,9 @@ def tidied(make: Callable[[], DataFrame], spark: SparkSession) -> DataFrame:
             elif outer is not None:
                 outer.append(path)
     return result
+
+
+def discard(stored: DataFrame) -> None:
+    """Deletes the folders of a stored DataFrame that its job has done with."""
+    for folder in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
+        remove(stored.sparkSession, folder)
