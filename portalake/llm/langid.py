@@ -4,7 +4,9 @@ Every language has a codeword of bits. For each bit one binary classifier over c
 n-grams tells languages with the bit from those without: a smoothed log-odds weight for each
 hashed n-gram. A text's margins, one for each bit, are compared with every codeword under the
 exponential loss, each bit weighted by how reliable it was; the codeword of least loss wins.
-A text whose two best codewords are close is flagged.
+A text whose two best codewords are close is flagged, and one that fits no codeword as well as
+the worst of the training rows fits its best, nor better than a text that tells nothing, is
+rejected.
 """
 
 from __future__ import annotations
@@ -19,13 +21,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import string_column, texts
+from .. import session
+from .common import settle, string_column, texts
 
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")
 BUCKET_BITS = 16
 #: n-grams of these numbers of bytes.
 SIZES = (1, 2, 3, 4)
+#: A little less than the loss of a text without any n-gram that was learned.
+NOTHING = 0.99
 _MULT = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)
 
 
@@ -75,6 +80,9 @@ class Model:
     scale: float = 1.0
     #: A text is ambiguous if the best codeword's probability exceeds the next by less.
     margin: float = 0.1
+    #: The greatest loss of a best codeword among the rows learned from, or nearly that of a text
+    #: that tells nothing (1), if that is more; a text beyond it is rejected.
+    bound: float = math.inf
 
     def margins(self, text: str) -> np.ndarray:
         """A margin for each bit: mean log-odds of the n-grams, growing with their number up to
@@ -84,28 +92,36 @@ class Model:
         total = times @ self.weights if times is not None else self.weights[f].sum(axis=0, dtype=np.float64)
         return self.scale * total / math.sqrt(len(f) * max(len(f), 200))
 
+    def losses(self, margins: np.ndarray) -> np.ndarray:
+        """The loss-weighted distance to each codeword."""
+        return (self.bit_weight * np.exp(-np.clip(self.codes * margins, -4, 4))).sum(axis=1) / self.bit_weight.sum()
+
     def decode(self, margins: np.ndarray) -> np.ndarray:
-        """A probability for each language from the loss-weighted distance to its codeword."""
-        loss = (self.bit_weight * np.exp(-np.clip(self.codes * margins, -4, 4))).sum(axis=1) / self.bit_weight.sum()
+        """A probability for each language."""
+        loss = self.losses(margins)
         p = np.exp(-4 * (loss - loss.min()))
         return p / p.sum()
 
-    def predict(self, text: str | None) -> tuple[str, float, bool, str | None]:
-        """Language, its probability, whether it is ambiguous, and the runner-up."""
+    def predict(self, text: str | None) -> tuple[str, float, bool, str | None, bool]:
+        """Language, its probability, whether it is ambiguous, the runner-up, whether it is rejected.
+        Of languages that fit alike the first by name wins."""
         if not text or not LETTER.search(text) or not self.langs:
-            return UNDETERMINED, 0.0, True, None
+            return UNDETERMINED, 0.0, True, None, False
         if len(self.langs) == 1:
-            return self.langs[0], 1.0, False, None
-        p = self.decode(self.margins(text))
+            return self.langs[0], 1.0, False, None, False
+        m = self.margins(text)
+        p = self.decode(m)
         best, second = np.argsort(-p, kind="stable")[:2]
-        return self.langs[best], float(p[best]), bool(p[best] - p[second] < self.margin), self.langs[second]
+        return (self.langs[best], float(p[best]), bool(p[best] - p[second] < self.margin), self.langs[second],
+                bool(self.losses(m).min() > self.bound))
 
 
-def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """About ``per_language`` rows of each language, by a hash of the id: the share each language
-    keeps follows from its count, so that a language with a third of all rows costs no more.
-    The driver gets one number for each language."""
-    share = {r["lang"]: min(1.0, per_language / r["count"]) for r in labelled.groupBy("lang").count().collect()}
+def _sample(labelled: DataFrame, per_language: int, languages: int) -> DataFrame:
+    """About ``per_language`` rows of each of the ``languages`` most frequent languages, by a hash of
+    the id: the share each language keeps follows from its count, so that a language with a
+    third of all rows costs no more. The driver gets one number for each language."""
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    share = {r["lang"]: min(1.0, per_language / r["count"]) for r in counts.collect()}
     if not share:
         return labelled.where(F.lit(False))
     kept = F.create_map(*(x for k, v in share.items() for x in (F.lit(k), F.lit(v))))
@@ -113,16 +129,17 @@ def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
     return labelled.where(draw < kept[F.col("lang")])
 
 
-def fit(labelled: DataFrame, per_language: int = 20_000, smoothing: float = 0.5) -> Model:
+def fit(labelled: DataFrame, per_language: int = 20_000, smoothing: float = 0.5, languages: int = 200) -> Model:
     """Learns from ``doc_id``, ``text`` and ``lang`` of the rows given; rows with a null language
-    are left out.
+    are left out, and so are languages beyond the ``languages`` most frequent (a column of very
+    many values is no column of languages).
 
     The classifier is fitted on a bounded sample of about ``per_language`` documents of each
     language, whole texts. Spark adds up n-gram counts by language and bucket; the driver gets
     2^16 numbers for each language. With no labelled rows every prediction is ``und``.
     """
     rows = labelled.where(F.col("lang").isNotNull())
-    sample = _sample(rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang")), per_language)
+    sample = _sample(rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang")), per_language, languages)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -157,33 +174,49 @@ def fit(labelled: DataFrame, per_language: int = 20_000, smoothing: float = 0.5)
 
 
 def _weigh_bits(model: Model, sample: DataFrame) -> None:
-    """The margins' scale, and each bit's weight: log-odds of its being right on the sample."""
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The margins' scale, each bit's weight (log-odds of its being right on the sample), and the
+    bound on the loss. The sample's margins are stored meanwhile."""
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {x: i for i, x in enumerate(model.langs)}
+        for batch in batches:
+            rows = [(index[lang], model.margins(text)) for text, lang in zip(string_column(batch, "text"), string_column(batch, "lang"), strict=True) if LETTER.search(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], names=["lang", "margins"])
+
+    def rows_of(batch: pa.RecordBatch) -> np.ndarray:
+        return batch.column(1).flatten().to_numpy().reshape(batch.num_rows, model.codes.shape[1])
+
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right, size, n = np.zeros(model.codes.shape[1]), np.zeros(model.codes.shape[1]), 0
         for batch in batches:
-            for text, lang in zip(string_column(batch, "text"), string_column(batch, "lang"), strict=True):
-                if LETTER.search(text):
-                    m = model.margins(text) * model.codes[index[lang]]
-                    right, size, n = right + (m > 0), size + np.abs(m), n + 1
+            m = rows_of(batch) * model.codes[batch.column(0).to_numpy()]
+            right, size, n = right + (m > 0).sum(axis=0), size + np.abs(m).sum(axis=0), n + len(m)
         k = np.arange(len(right))
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(right), pa.array(size), pa.array(np.full(len(k), n))],
                                          names=["bit", "good", "size", "n"])
 
-    rows = (sample.mapInArrow(check, "bit long, good double, size double, n long").groupBy("bit")
+    def worst(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [float(model.losses(model.scale * m).min()) for m in rows_of(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array([max(found, default=0.0)])], names=["loss"])
+
+    stored = settle(sample.mapInArrow(measure, "lang int, margins array<double>"), "margins")
+    rows = (stored.mapInArrow(check, "bit long, good double, size double, n long").groupBy("bit")
             .agg(F.sum("good").alias("good"), F.sum("size").alias("size"), F.sum("n").alias("n")).orderBy("bit").toPandas())
     n = rows["n"].to_numpy(float)
     share = (rows["good"].to_numpy() + 1) / (n + 2)
     model.bit_weight = np.maximum(0.05, np.log(share / (1 - share)))
     model.scale = float(2 * n.sum() / max(1e-9, rows["size"].sum()))
+    model.bound = max(NOTHING, stored.mapInArrow(worst, "loss double").agg(F.max("loss")).first()[0] + 1e-9)
+    session.discard(stored)
 
 
-SCHEMA = "doc_id long, lang_pred string, score double, ambiguous boolean, second string"
+SCHEMA = "doc_id long, lang_pred string, score double, ambiguous boolean, second string, rejected boolean"
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``lang_pred`` (a learned language, or ``und`` if the text is null or
-    has no letter), ``score`` from 0 to 1, ``ambiguous``, ``second``. Whole texts, text alone.
+    has no letter), ``score`` from 0 to 1, ``ambiguous``, ``second``, and ``rejected`` if it fits no
+    language as well as the worst training row did, and none better than a text that tells nothing. Whole texts, text alone.
     Repeated rows give repeated results, an empty table none. Narrow: no shuffle; the model, of
     a size fixed by its buckets and bits, goes to the tasks as a broadcast."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -192,8 +225,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for batch in batches:
             if batch.num_rows:
                 rows = [sent.value.predict(t) for t in string_column(batch, "text")]
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.float64(), pa.bool_(), pa.string()), strict=True)]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.float64(), pa.bool_(), pa.string(), pa.bool_()), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns],
-                                                 names=["doc_id", "lang_pred", "score", "ambiguous", "second"])
+                                                 names=["doc_id", "lang_pred", "score", "ambiguous", "second", "rejected"])
 
     return texts(docs, id_col, text_col).mapInArrow(run, SCHEMA)

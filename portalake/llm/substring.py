@@ -2,11 +2,12 @@
 
 A text is cut into units (clauses, lines or paragraphs) and each is normalised. What is hashed
 is a unit, or, if it has too few words, the unit with as many of the next ones as it takes: a
-short clause that two texts share by chance is no repeat, and a passage is found wherever it
-stands in a line. By ``passage``, the default, whole lines are hashed besides, each on its own
-whatever its words; very short ones are repeats only if many documents hold them. And runs of
-twelve words are hashed wherever the words themselves say so (winnowing), whatever marks or line
-ends stand in them or don't. For every digest the earliest occurrence, by document id and then
+short clause that two texts share by chance is no repeat. By ``passage``, the default, whole lines
+are hashed, each on its own whatever its words; very short ones are repeats only if many
+documents hold them. And runs of
+twelve words are hashed at the beginning and the end of every clause, and wherever the words
+themselves say so (winnowing), so that a passage is found wherever it stands, whatever marks or
+line ends stand in it or don't. For every digest the earliest occurrence, by document id and then
 by place, is kept; all later ones are taken out. What was taken out is reported with its offsets
 in the original text.
 """
@@ -27,7 +28,8 @@ from .common import settle, string_column
 #: What stands between two units.
 BETWEEN = {"clause": re.compile(r"(?<=[.!?,;:])[ \t]+|\s*\n\s*"), "line": re.compile(r"\s*\n\s*"),
            "paragraph": re.compile(r"\s*\n[ \t]*\n\s*")}
-BETWEEN["passage"] = BETWEEN["clause"]
+BETWEEN["passage"] = BETWEEN["line"]
+SPACE = re.compile(r"\s*")
 LAST = 2**63 - 1
 #: A line of fewer characters is a repeat only if so many documents hold it.
 SHORT, COMMON = 12, 10
@@ -111,17 +113,9 @@ def cut(text: str, repeats: Iterable[int], unit: str, least_words: int) -> tuple
 def pieces(text: str, unit: str, least_words: int) -> dict[tuple[int, int], str]:
     """What is hashed of a text: start and end of each piece, and the piece as compared."""
     found, units = normal_units(text, unit)
-    out = {(found[i][0], found[j][1]): " ".join(units[i:j + 1]) for i, j in windows(units, least_words)}
     if unit == "passage":
-        # Also those that end at a unit, for the last units of a passage.
-        n = len(units)
-        for i, j in ((n - 1 - j, n - 1 - i) for i, j in windows(units[::-1], least_words)):
-            if (found[i][0], found[j][1]) not in out:
-                out[found[i][0], found[j][1]] = " ".join(units[i:j + 1])
-        for a, b in spans(text, "line"):
-            if (a, b) not in out and (line := normal(text[a:b])):
-                out[a, b] = line
-    return out
+        return {at: line for at, line in zip(found, units, strict=True) if line}
+    return {(found[i][0], found[j][1]): " ".join(units[i:j + 1]) for i, j in windows(units, least_words)}
 
 
 def word_spans(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -155,15 +149,25 @@ def _mix(v: np.ndarray) -> np.ndarray:
 
 def runs(texts: list[str]) -> tuple[np.ndarray, ...]:
     """Text number, start, end, and two hashes of the chosen runs of words, in order. Of CHOICE runs
-    in turn the one with the least hash is chosen, so the choice depends on their words alone."""
-    spans_of, hashes = [], []
+    in turn the one with the least hash is chosen, so the choice depends on their words alone;
+    and those that begin or end with a clause, so that a passage of whole clauses is found up to
+    its ends."""
+    spans_of, hashes, edges = [], [], []
+    held = 0
     for t in texts:
         a, b, found = word_spans(t)
         spans_of.append((a, b))
         hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
+        if len(found) >= RUN:
+            cuts = np.array([m.span() for m in BETWEEN["clause"].finditer(t)], np.int64).reshape(-1, 2)
+            begins = np.concatenate(([0], np.searchsorted(a, cuts[:, 1])))
+            ends = np.append(np.searchsorted(b, cuts[:, 0], "right"), len(found)) - RUN
+            inside = np.concatenate([begins, ends])
+            edges.append(held + inside[(inside >= 0) & (inside + RUN <= len(found))])
+        held += len(found)
     sizes = np.array([len(h) for h in hashes], np.int64)
     none = np.zeros(0, np.int64)
-    if sizes.sum() < RUN + CHOICE - 1:
+    if sizes.sum() < RUN:
         return none, none, none, none, none
     word, owner = np.concatenate(hashes), np.repeat(np.arange(len(texts)), sizes)
     n = len(word) - RUN + 1
@@ -173,10 +177,15 @@ def runs(texts: list[str]) -> tuple[np.ndarray, ...]:
         two = two * np.uint64(0xC2B2AE3D27D4EB4F) + (word[k:k + n] >> np.uint64(7))
     one, two = _mix(one), _mix(two)
     # The least of each CHOICE runs of one text, or 0; chosen is what is the least of some.
-    least = _over(one, CHOICE, True)
-    least[owner[:len(least)] != owner[RUN + CHOICE - 2:]] = 0
-    edge = np.zeros(CHOICE - 1, np.uint64)
-    at = np.flatnonzero((_over(np.concatenate([edge, least, edge]), CHOICE, False) == one) & (owner[:n] == owner[RUN - 1:]))
+    chosen = np.zeros(n, bool)
+    if n >= CHOICE:
+        least = _over(one, CHOICE, True)
+        least[owner[:len(least)] != owner[RUN + CHOICE - 2:]] = 0
+        edge = np.zeros(CHOICE - 1, np.uint64)
+        chosen = _over(np.concatenate([edge, least, edge]), CHOICE, False) == one
+    if edges:
+        chosen[np.concatenate(edges)] = True
+    at = np.flatnonzero(chosen & (owner[:n] == owner[RUN - 1:]))
     starts, ends = (np.concatenate([x[k] for x in spans_of]) for k in (0, 1))
     return owner[at], starts[at], ends[at + RUN - 1], one[at].view(np.int64), two[at].view(np.int64)
 
@@ -192,7 +201,7 @@ def cut_spans(text: str, repeats: Iterable[tuple[int, int]], unit: str) -> tuple
             merged.append((a, b))
     found, parts, at = spans(text, unit), [], 0
     for a, b in merged:
-        rest = len(text) - b - len(text[b:].lstrip()) if b < len(text) else 0
+        rest = SPACE.match(text, b).end() - b
         last = b + rest == len(text)
         parts.append(text[at:a].rstrip() if last else text[at:a])
         at = b + rest

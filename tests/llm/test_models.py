@@ -143,6 +143,17 @@ def test_languages(docs):
     assert langid.predict(docs(), model).count() == 0
 
 
+def test_what_fits_no_language_is_rejected(docs):
+    """Letter noise goes; training rows, and others like them, never."""
+    en, de = "the cat sat on the mat and the dog ate that thing ", "der Hund und die Katze sind nicht auf dem Tisch gewesen "
+    rows = [(i, en * (1 + i % 3), "en") for i in range(20)] + [(50 + i, de * (1 + i % 3), "de") for i in range(20)]
+    model = langid.fit(docs(*rows))
+    got = {r.doc_id: r.rejected for r in langid.predict(docs(*rows, (200, "the dog sat on that mat and the cat ate"), (201, None), (202, "1 2"),
+                                                               (203, "\u4e2d\u6587\u5b57\u7b26 \u6587\u5b57")), model).collect()}
+    assert [i for i, gone in got.items() if gone] == [203] and model.bound < 1
+    assert langid.fit(docs(*rows, *((300 + i, "a b", f"x{i}") for i in range(30))), languages=2).langs == ["de", "en"]
+
+
 @data
 def test_languages_held_out(llm):
     rows = QUERIES["op8_language_codes"](llm, SF).join(llm.read.parquet(SF + "/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()

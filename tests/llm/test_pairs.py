@@ -1,6 +1,8 @@
 """Near copies, components, repeated passages and benchmark items, against brute force."""
 
 import random
+import re
+import time
 
 import pytest
 
@@ -213,6 +215,57 @@ def test_short_clauses_at_the_end_of_a_passage_go(docs):
         assert r.text == (text if r.doc_id == 0 else text.replace(passage + " ", ""))
 
 
+def test_passages_by_brute_force(docs):
+    """What goes lies in runs of twelve words, or lines, that stand earlier; and of every shared run
+    long enough at most eleven words at either end stay. Written without the module's own functions."""
+    rng = random.Random(47)
+    shared = [prose(rng, n) for n in (20, 30, 55, 70, 13)]
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            parts.append(rng.choice([lambda: prose(rng, rng.randint(1, 40)), lambda: rng.choice(shared), lambda: rng.choice(shared).upper().replace(" ", "  ")])())
+            parts.append(rng.choice([" ", ". ", "\n", ", "]))
+        rows.append((i, "".join(parts)))
+    rows += [(70, "of " * 90), (71, None), (72, "")]
+    earlier, lines, seen_in = set(), set(), {}
+    for r in sorted(substring.dedup(docs(*rows)).collect(), key=lambda r: r.doc_id):
+        text = dict(rows)[r.doc_id] or ""
+        words = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"\S+", text)]
+        may, must, own = [False] * len(text), [], set()
+        for k in range(len(words) - 11):
+            run = tuple(w for _, _, w in words[k:k + 12])
+            if run in earlier or run in own:
+                may[words[k][0]:words[k + 11][1]] = [True] * (words[k + 11][1] - words[k][0])
+                must.append(k)
+            own.add(run)
+        at = 0
+        for line in text.split("\n"):
+            key = " ".join(line.lower().split())
+            if len(key) >= 12 and key in lines:
+                may[at:at + len(line)] = [True] * len(line)
+            lines.add(key)
+            at += len(line) + 1
+        earlier |= own
+        taken = [False] * len(text)
+        for a, b in r.dedup.removed:
+            taken[a:b] = [True] * (b - a)
+        assert all(may[p] or text[p].isspace() for p in range(len(text)) if taken[p]), "only repeats go"
+        for k in must:      # eleven repeated runs before and after: the words in the middle go
+            if all(x in must for x in range(k - 11, k + 12)):
+                assert all(taken[words[k][0]:words[k][1]])
+        kept = "".join(c for p, c in enumerate(text) if not taken[p])
+        assert (r.text or "").split() == kept.split()
+
+
+def test_long_texts_are_cut_in_one_go():
+    text = " ".join(str(i % 7) for i in range(400_000))
+    spans = [(i, i + 3) for i in range(0, len(text) - 8, 8)]
+    start = time.process_time()
+    cut, merged, n, gone = substring.cut_spans(text, spans, "passage")
+    assert len(merged) == len(spans) and (n, gone) == (1, 1) and time.process_time() - start < 5
+
+
 # --- contamination -------------------------------------------------------------------------
 
 def test_search_by_brute_force(llm, docs):
