@@ -12,9 +12,11 @@ from portalake.operators import filters
 from portalake.operators.audit import complete_only, page_audit, refused
 from portalake.operators.clean import clean as clean_rows
 from portalake.operators.clean import rejects as reject_rows
+from portalake.operators.requests import Request, of_captures, of_rows
 from portalake.schema import Table
 from portalake.session import shared_folder
-from portalake.sources.envelope import LINEAGE, parse_pages, raw_rows, stage_pages
+from portalake.sources.envelope import LINEAGE, parse_pages, raw_rows, sift_rows, stage_pages
+from portalake.sources.pages import layer_pages
 from portalake.tables import table as find_table
 
 ROW_LINEAGE = (*LINEAGE, "pos")
@@ -33,6 +35,21 @@ def _complete_rows(pages: DataFrame, stage: str | None) -> DataFrame:
     return raw_rows(complete_only(pages, page_audit(pages)))
 
 
+def _asked_rows(captures: DataFrame, table: Table, request: Request, stage: str | None, pages: str | None,
+                captured: tuple[str | None, str | None]) -> DataFrame:
+    """Vendor rows of complete fetches that may belong to a request. Captures whose parameters rule
+    them out are not parsed. With ``pages``, a folder that lasts, bodies parsed before aren't
+    parsed again; without, pages are staged for this call with the rows that may be asked for."""
+    which = of_captures(table, request, captured)
+    if pages is not None:
+        held = layer_pages(captures, pages, table, which, captured)
+        return raw_rows(complete_only(held, page_audit(held)))
+    parsed = parse_pages(_of_operation(captures, table).where(which), table)
+    if of_rows(table, request, F.col("items")[0]) is not None:
+        parsed = sift_rows(parsed, lambda r: of_rows(table, request, r))
+    return _complete_rows(parsed, stage)
+
+
 def generic_rows(captures: DataFrame, service: str, operation: str, secret: str | None = None,
                  stage: str | None = None) -> DataFrame:
     """Vendor rows (``raw`` MAP) of any operation, declared or not, from complete fetches."""
@@ -47,12 +64,12 @@ def vendor_rows(captures: DataFrame, name: str, stage: str | None = None) -> Dat
 
 
 def typed_rows(captures: DataFrame, name: str, keep: tuple[str, ...] = (),
-               stage: str | None = None) -> DataFrame:
+               stage: str | None = None, pages: str | None = None) -> DataFrame:
     """Typed rows of a declared table from complete fetches. Parsed pages are written once, below
-    ``stage`` or the session's shared folder."""
+    ``stage`` or the session's shared folder; or kept below ``pages``, where every body is parsed
+    once, however often it is asked for."""
     t = find_table(name)
-    pages = parse_pages(_of_operation(captures, t), t)
-    return clean_rows(_complete_rows(pages, stage), t, keep)
+    return clean_rows(_asked_rows(captures, t, Request(), stage, pages, (None, None)), t, keep)
 
 
 def rejected_rows(captures: DataFrame, name: str, keep: tuple[str, ...] = ROW_LINEAGE,
@@ -81,7 +98,7 @@ def _asked(token: str, value: str) -> Column:
 def _weather(df: DataFrame, t: Table, *, nx: int, ny: int, base_date: str | None = None,
              base_time: str | None = None, now: Column | None = None) -> DataFrame:
     if base_date is None and base_time is None:
-        latest = latest_announcement(F.current_timestamp() if now is None else now, t.name)
+        latest = _latest(t, now)
         return filters.grid_forecast(df, nx, ny, latest["base_date"], latest["base_time"])
     return filters.grid_forecast(df, nx, ny, base_date, base_time)
 
@@ -129,11 +146,64 @@ def _kofia(df: DataFrame, t: Table, *, begin: str | None = None,
     return filters.date_range(df, t, begin, end)
 
 
+def _latest(t: Table, now: Column | None) -> Column:
+    return latest_announcement(F.current_timestamp() if now is None else now, t.name)
+
+
+# What each service's arguments ask for. Arguments are as those of the filters above.
+
+def _ask_weather(t: Table, *, nx: int, ny: int, base_date: str | None = None, base_time: str | None = None,
+                 now: Column | None = None) -> Request:
+    if base_date is None and base_time is None:
+        latest = _latest(t, now)
+        base_date, base_time = latest["base_date"], latest["base_time"]
+    return Request({"nx": nx, "ny": ny, "base_time": base_time}, first=base_date, last=base_date)
+
+
+def _ask_airquality(t: Table, *, sido: str | None = None, station: str | None = None, data_term: str | None = None,
+                    as_of: Column | None = None, ver: str | None = None) -> Request:
+    params = {} if ver is None else {"ver": ver}
+    if t.name == "by_station" and data_term is not None and as_of is None:
+        params["dataTerm"] = data_term
+    column, value = ("sido", sido) if t.name == "by_sido" else ("station", station)
+    return Request({} if value is None else {column: value}, params)
+
+
+def _ask_holidays(t: Table, *, year: int, month: int | None = None) -> Request:
+    period = f"{year:04d}" if month is None else f"{year:04d}{month:02d}"
+    return Request(first=period, last=period)
+
+
+def _ask_realestate(t: Table, *, region_code: str, deal_ym: str) -> Request:
+    return Request({"region_code": region_code}, first=deal_ym, last=deal_ym)
+
+
+def _ask_midforecast(t: Table, *, region_code: str, base_time: str) -> Request:
+    return Request({"region_code": region_code}, {"tmFc": base_time})
+
+
+def _ask_procurement(t: Table, *, begin: str, end: str, query_basis: str = "1") -> Request:
+    return Request(first=begin, last=end) if query_basis == "1" else Request()
+
+
+def _ask_customs(t: Table, *, hs_code: str, begin: str, end: str, prefix: bool = False) -> Request:
+    return Request({} if prefix else {"hs_code": hs_code}, first=begin, last=end)
+
+
+def _ask_kofia(t: Table, *, begin: str | None = None, end: str | None = None) -> Request:
+    return Request(first=begin, last=end)
+
+
 _FILTERS: dict[str, Callable[..., DataFrame]] = {
     "weather": _weather, "airquality": _airquality, "holidays": _holidays,
     "realestate": _realestate, "midforecast": _midforecast, "procurement": _procurement,
     "customs": _customs, "kofia": _kofia,
 }
+_REQUESTS: dict[str, Callable[..., Request]] = {
+    "weather": _ask_weather, "airquality": _ask_airquality, "holidays": _ask_holidays,
+    "realestate": _ask_realestate, "midforecast": _ask_midforecast, "procurement": _ask_procurement,
+    "customs": _ask_customs, "kofia": _ask_kofia,
+}
 
 
 def select_rows(rows: DataFrame, name: str, **arguments) -> DataFrame:
@@ -143,8 +213,17 @@ def select_rows(rows: DataFrame, name: str, **arguments) -> DataFrame:
     return _FILTERS[t.service](rows, t, **arguments)
 
 
-def fetch(captures: DataFrame, name: str, stage: str | None = None, **arguments) -> DataFrame:
+def fetch(captures: DataFrame, name: str, stage: str | None = None, pages: str | None = None,
+          captured: tuple[str | None, str | None] = (None, None), **arguments) -> DataFrame:
     """The table's typed columns for one request, such as
-    ``fetch(captures, "weather.forecast", nx=60, ny=127)``."""
-    rows = typed_rows(captures, name, keep=("params",), stage=stage)
-    return select_rows(rows, name, **arguments).select(*find_table(name).columns)
+    ``fetch(captures, "weather.forecast", nx=60, ny=127)``.
+
+    Captures whose request parameters show that they hold nothing of it are not parsed, nor are
+    those taken outside ``captured`` (first and last time). Of the others only rows that may be
+    asked for are staged, below ``stage``. With ``pages``, a folder that lasts, whole pages are kept
+    there instead, and a body that any earlier call has parsed is not parsed again.
+    """
+    t = find_table(name)
+    request = _REQUESTS[t.service](t, **arguments)
+    rows = clean_rows(_asked_rows(captures, t, request, stage, pages, captured), t, ("params",))
+    return select_rows(rows, name, **arguments).select(*t.columns)

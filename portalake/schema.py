@@ -19,6 +19,11 @@ SPARK_TYPES: dict[str, T.DataType] = {
 }
 
 
+def between(first: str, last: str | None = None) -> Callable[[Column], tuple[Column, Column]]:
+    """A span named by two request parameters, or by one."""
+    return lambda params: (params[first], params[last or first])
+
+
 @dataclass(frozen=True)
 class Field:
     token: str
@@ -61,6 +66,10 @@ class Table:
     period_column: str | None = None
     period_param: str | None = None
     monthly: bool = False
+    # What a capture was asked for, read from its request parameters: the parameter that names a
+    # column's one value, and the first and last period (digits, a year at least), NULL if open or unknown.
+    asks: Mapping[str, str] = dc_field(default_factory=dict)
+    span: Callable[[Column], tuple[Column, Column]] | None = None
 
     def __post_init__(self) -> None:
         for what, values in (("column", self.columns),

@@ -52,6 +52,12 @@ def settle(df: DataFrame, what: str = "rows", folder: str | None = None) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored there."""
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder of rows that nothing reads any more, through the store it is in."""
     p, fs = _path(spark, path)

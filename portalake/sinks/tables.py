@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from portalake.operators.merge import latest_by_key, replace_periods, RECENCY, with_row_id
 from portalake.schema import Table
-from portalake.session import settle
+from portalake.session import exists, settle
 
 PERIOD = "part_month"
 # What a replacement covers in time: a date, an announcement or a month.
@@ -61,9 +61,7 @@ def write_table(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_table(rows: DataFrame, path: str) -> DataFrame:
     """The stored table with the schema of ``rows`` (empty before the first write)."""
     spark = rows.sparkSession
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-    if not exists:
+    if not exists(spark, path):
         return rows.limit(0)
     return spark.read.schema(rows.schema).parquet(path)
 

@@ -24,16 +24,22 @@ CAPTURE_SCHEMA = T.StructType([
 ])
 
 
+#: Stored beside a capture, so that bodies need not be read to tell whether they are known.
+FINGERPRINT = "fingerprint"
+
+
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
     """A parquet table of captures. Laid out by service and operation, a read of one table
     opens only its own files."""
-    return spark.read.schema(CAPTURE_SCHEMA).parquet(path)
+    return spark.read.schema(T.StructType([*CAPTURE_SCHEMA, T.StructField(FINGERPRINT, T.LongType())])).parquet(path)
 
 
 def write_captures(captures: DataFrame, path: str, mode: str = "append") -> None:
-    """Store captures by service and operation; AQE evens out the files, hot operations
-    included."""
-    (captures.hint("rebalance", "service", "operation")
+    """Store captures by service and operation, with a hash of each body; AQE evens out the files,
+    hot operations included. Within a file they are in order of capture time, so that a reader
+    that wants some time passes over the rest."""
+    (captures.withColumn(FINGERPRINT, F.xxhash64("body")).hint("rebalance", "service", "operation")
+     .sortWithinPartitions("service", "operation", "captured_at")
      .write.mode(mode).partitionBy("service", "operation").parquet(path))
 
 

@@ -7,6 +7,7 @@ rows in one array column, so counting pages and rows later touches no text.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -233,9 +234,18 @@ def stage_pages(pages: DataFrame, path: str) -> DataFrame:
     return pages.sparkSession.read.schema(pages.schema).parquet(mine)
 
 
+def sift_rows(pages: DataFrame, test: Callable[[Column], Column]) -> DataFrame:
+    """Pages that keep only the vendor rows that pass a test, with their places, as ``found`` in place
+    of ``items``; ``n`` still counts all, for the audit."""
+    placed = F.transform("items", lambda row, i: F.struct(i.alias("pos"), row.alias("raw")))
+    return pages.withColumn("found", F.filter(placed, lambda x: test(x["raw"]))).drop("items")
+
+
 def raw_rows(pages: DataFrame) -> DataFrame:
     """One row per vendor row, in page order by ``(capture_id, page, pos)``; a JSON null in a
     map row becomes empty text."""
+    if "found" in pages.columns:
+        return pages.select(*LINEAGE, "service", "operation", F.inline("found"))
     rows = pages.select(*LINEAGE, "service", "operation", F.posexplode("items").alias("pos", "raw"))
     if isinstance(rows.schema["raw"].dataType, T.MapType):
         rows = rows.withColumn("raw", F.transform_values(

@@ -30,5 +30,5 @@ TABLES = (
     Table("airquality", "by_sido", "getCtprvnRltmMesureDnsty", _BY_SIDO + _MEASURES, wide=True,
           period_column="measured_at", slices=("sido", "station")),
     Table("airquality", "by_station", "getMsrstnAcctoRltmMesureDnsty", _BY_STATION + _MEASURES,
-          wide=True, period_column="measured_at", slices=("station",)),
+          wide=True, period_column="measured_at", slices=("station",), asks={"station": "stationName"}),
 )

@@ -1,6 +1,6 @@
 """Monthly trade by commodity code."""
 
-from portalake.schema import Table, parse_fields
+from portalake.schema import Table, between, parse_fields
 
 # Vendor tokens, column names and kinds.
 _ITEM_TRADE = parse_fields("""
@@ -14,4 +14,4 @@ impWgt       import_weight_kg  int
 balPayments  trade_balance_usd int
 """)
 
-TABLES = (Table("customs", "item_trade", "getItemtradeList", _ITEM_TRADE),)
+TABLES = (Table("customs", "item_trade", "getItemtradeList", _ITEM_TRADE, span=between("strtYymm", "endYymm")),)

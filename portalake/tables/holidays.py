@@ -1,5 +1,8 @@
 """Special-day tables: one shape, five operations."""
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from portalake.schema import Table, parse_fields
 
 # Vendor tokens, column names and kinds.
@@ -19,4 +22,11 @@ _OPERATIONS = {
     "sundry_days": "getSundryDayInfo",
 }
 
-TABLES = tuple(Table("holidays", name, op, _DAYS) for name, op in _OPERATIONS.items())
+
+def _year(params: Column) -> tuple[Column, Column]:
+    """A year, or one month of it."""
+    month = params["solMonth"]
+    return F.concat(params["solYear"], F.coalesce(month, F.lit("01"))), F.concat(params["solYear"], F.coalesce(month, F.lit("12")))
+
+
+TABLES = tuple(Table("holidays", name, op, _DAYS, span=_year) for name, op in _OPERATIONS.items())

@@ -1,6 +1,6 @@
 """Financial market statistics, daily and monthly."""
 
-from portalake.schema import Table, parse_fields
+from portalake.schema import Table, between, parse_fields
 
 # Vendor tokens, column names and kinds.
 _MARKET_FUNDS = """
@@ -78,7 +78,11 @@ trPrcUsd         trade_value_usd         int
 
 
 def _table(name: str, operation: str, fields: str, wide: bool = False) -> Table:
-    return Table("kofia", name, operation, parse_fields(fields), wide=wide, fmt="json")
+    columns = parse_fields(fields)
+    # The date's own token names the bounds.
+    token = next(f.token for f in columns if f.is_date)
+    token = token[0].upper() + token[1:]
+    return Table("kofia", name, operation, columns, wide=wide, fmt="json", span=between(f"begin{token}", f"end{token}"))
 
 
 TABLES = (

@@ -1,6 +1,6 @@
 """Mid-range forecast tables: one column per day ahead, or half day for the nearer days."""
 
-from portalake.schema import Field, Table
+from portalake.schema import Field, Table, between
 
 # Days ahead, tokens, column names and kinds.
 _HALF_DAYS = range(4, 8)
@@ -21,7 +21,6 @@ _TEMPERATURE = (_REGION, *(Field(f"{token}{d}", f"{column}_{d}", kind)
                            for d in (*_HALF_DAYS, *_WHOLE_DAYS)
                            for token, column, kind in (_LOW, _HIGH)))
 
-TABLES = (
-    Table("midforecast", "land", "getMidLandFcst", _LAND, wide=True, period_param="tmFc", slices=("region_code",)),
-    Table("midforecast", "temperature", "getMidTa", _TEMPERATURE, wide=True, period_param="tmFc", slices=("region_code",)),
-)
+TABLES = tuple(Table("midforecast", name, operation, fields, wide=True, period_param="tmFc", slices=("region_code",),
+                     asks={"region_code": "regId"}, span=between("tmFc"))
+               for name, operation, fields in (("land", "getMidLandFcst", _LAND), ("temperature", "getMidTa", _TEMPERATURE)))

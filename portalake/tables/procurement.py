@@ -1,5 +1,8 @@
 """Public bid notices: one shape, four kinds of contract."""
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from portalake.schema import Table, parse_fields
 
 # Vendor tokens, column names and kinds.
@@ -29,5 +32,13 @@ _OPERATIONS = {
     "foreign": "getBidPblancListInfoFrgcptPPSSrch",
 }
 
+
+
+def _noticed(params: Column) -> tuple[Column, Column]:
+    """The window asked for, if it is one of notices and not of openings."""
+    by_notice = params["inqryDiv"] == "1"
+    return F.when(by_notice, params["inqryBgnDt"]), F.when(by_notice, params["inqryEndDt"])
+
+
 TABLES = tuple(Table("procurement", name, op, _BID, wide=True, period_column="notice_at",
-                     slices=("notice_no", "notice_ord")) for name, op in _OPERATIONS.items())
+                     slices=("notice_no", "notice_ord"), span=_noticed) for name, op in _OPERATIONS.items())

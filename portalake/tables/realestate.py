@@ -2,7 +2,7 @@
 here, under a token of our own."""
 
 from portalake.functions.parsers import deal_date
-from portalake.schema import Table, parse_fields
+from portalake.schema import Table, between, parse_fields
 
 # Vendor tokens, column names and kinds.
 _PLACE = """
@@ -73,6 +73,7 @@ def _table(name: str, operation: str, fields: str) -> Table:
     lines = "\n".join(line for line in fields.splitlines() if line.strip())
     return Table("realestate", name, f"{operation}/get{operation}", parse_fields(lines), wide=True,
                  monthly=True, slices=("region_code",),
+                 asks={"region_code": "LAWD_CD"}, span=between("DEAL_YMD"),
                  derived={"dealDate": deal_date},
                  derived_from=("dealYear", "dealMonth", "dealDay"))
 

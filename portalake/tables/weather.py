@@ -1,6 +1,6 @@
 """Short-range forecast tables."""
 
-from portalake.schema import Table, parse_fields
+from portalake.schema import Table, between, parse_fields
 
 # Vendor tokens, column names and kinds.
 _FORECAST = parse_fields("""
@@ -23,8 +23,10 @@ nx         nx              int       key
 ny         ny              int       key
 """)
 
-TABLES = (
-    Table("weather", "forecast", "getVilageFcst", _FORECAST, wide=True, slices=("base_time", "nx", "ny")),
-    Table("weather", "ultra_forecast", "getUltraSrtFcst", _FORECAST, wide=True, slices=("base_time", "nx", "ny")),
-    Table("weather", "nowcast", "getUltraSrtNcst", _NOWCAST, wide=True, slices=("base_time", "nx", "ny")),
-)
+# Request parameters.
+_ASKED = {"asks": {"base_time": "base_time", "nx": "nx", "ny": "ny"}, "span": between("base_date")}
+
+TABLES = tuple(Table("weather", name, operation, fields, wide=True, slices=("base_time", "nx", "ny"), **_ASKED)
+               for name, operation, fields in (("forecast", "getVilageFcst", _FORECAST),
+                                               ("ultra_forecast", "getUltraSrtFcst", _FORECAST),
+                                               ("nowcast", "getUltraSrtNcst", _NOWCAST)))
