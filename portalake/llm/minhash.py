@@ -231,10 +231,9 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, miss: float) -> DataFra
 
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * 4 * BAND + 1, F.lit(4 * BAND))))
     keys = settle(brief.select(F.col("doc_id").alias("id"), F.explode(bands).alias("key")).distinct(), "bands")
-    links = _confirmed(_possible(_least(keys), brief, PERCENT, miss), own, SHINGLE, PERCENT)
+    group = settle(components(_confirmed(_possible(_least(keys), brief, PERCENT, miss), own, SHINGLE, PERCENT)), "group")
 
     # What is open: buckets with sets of several components.
-    group = settle(components(links), "group")
     member = keys.join(group, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     counted = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x <> y").select("key", "m")
     member = settle(member.join(counted, "key"), "members")
@@ -242,17 +241,15 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, miss: float) -> DataFra
     each = F.expr("""filter(flatten(transform(s, (x, i) -> transform(slice(s, i + 2, size(s)),
         y -> struct(least(x.id, y.id) as a, greatest(x.id, y.id) as b, x.c <> y.c as apart)))), p -> p.apart)""")
     some = few.select(F.explode(each).alias("p")).select("p.a", "p.b").distinct()
-    links = settle(links.unionByName(_confirmed(_possible(some, brief, PERCENT, miss), own, SHINGLE, PERCENT)), "links")
-
-    crowd = member.where(F.col("m") > FEW).select(F.col("id").alias("doc_id")).distinct()
-    group = components(links).select(F.col("id").alias("doc_id"), "component")
-    crowd = settle(own.join(crowd, "doc_id", "left_semi").join(brief.select("doc_id", "n").distinct(), "doc_id").join(group, "doc_id", "left")
-                   .select("doc_id", "n", "text", F.coalesce("component", "doc_id").alias("component")), "crowd")
+    crowd = member.where(F.col("m") > FEW).groupBy(F.col("id").alias("doc_id")).agg(F.first("component").alias("component"))
+    crowd = settle(own.join(crowd, "doc_id").join(brief.select("doc_id", "n").distinct(), "doc_id").select("doc_id", "n", "text", "component"), "crowd")
     still, enough = rare.open_sets(crowd, Shingler, PERCENT)
     rest = rare.pairs(crowd, still, enough, Shingler, PERCENT)
-    links = links.unionByName(_confirmed(_possible(rest, brief, PERCENT, miss), own, SHINGLE, PERCENT))
+    across = _confirmed(_possible(some.unionByName(rest).distinct(), brief, PERCENT, miss), own, SHINGLE, PERCENT)
 
-    links = links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
+    # What the first links gave are stars already.
+    links = (group.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(across)
+             .unionByName(copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))))
     found = components(links).select(F.col("id").alias("doc_id"), "component")
     return (sets.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
