@@ -81,13 +81,14 @@ def of_rows(table: Table, request: Request, row: Column) -> Column | None:
 
 
 def coverage(complete: DataFrame, table: Table) -> DataFrame:
-    """What complete captures cover, their rows or their lack of rows aside: ``first`` and ``last``
-    period (digits) and the columns of ``table.asks``. ``complete`` has ``params``. Captures
-    whose parameters don't name all of these cover nothing here."""
+    """What complete captures cover, their rows or their lack of rows aside: ``capture_id``, ``first`` and
+    ``last`` period (digits), the columns of ``table.asks``, and when the fetch ``began``. ``complete`` has
+    the pages of complete captures. Those whose parameters don't name all of these cover nothing
+    here, nor do those of a table that isn't asked for by period."""
     params = F.col("params")
-    if table.span is None:
-        return complete.select(F.lit("").alias("first"), F.lit("").alias("last"), *(F.lit(None).cast("string").alias(c) for c in table.asks)).limit(0)
-    first, last = table.span(params)
+    first, last = table.span(params) if table.span else (F.lit(None).cast("string"),) * 2
     digits = lambda c: F.regexp_replace(c, "[^0-9]", "")
-    found = complete.select(digits(first).alias("first"), digits(last).alias("last"), *(params[token].alias(c) for c, token in table.asks.items()))
-    return found.dropna().where((F.length("first") >= 6) & (F.length("last") >= 6)).distinct()
+    named = {"first": digits(first), "last": digits(last)} | {c: params[token] for c, token in table.asks.items()}
+    found = complete.select("capture_id", "captured_at", *(v.alias(c) for c, v in named.items()))
+    return (found.dropna(subset=list(named)).where((F.length("first") >= 6) & (F.length("last") >= 6))
+            .groupBy("capture_id", *named).agg(F.min("captured_at").alias("began")))

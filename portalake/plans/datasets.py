@@ -12,9 +12,10 @@ from portalake.operators import filters
 from portalake.operators.audit import complete_only, page_audit, refused
 from portalake.operators.clean import clean as clean_rows
 from portalake.operators.clean import rejects as reject_rows
-from portalake.operators.requests import Request, of_captures, of_rows
+from portalake.operators.requests import Request, coverage, of_captures, of_rows
 from portalake.schema import Table
 from portalake.session import shared_folder
+from portalake.sinks.tables import replace_table, upsert_table
 from portalake.sources.envelope import LINEAGE, parse_pages, raw_rows, sift_rows, stage_pages
 from portalake.sources.pages import layer_pages
 from portalake.tables import table as find_table
@@ -128,7 +129,8 @@ def _realestate(df: DataFrame, t: Table, *, region_code: str, deal_ym: str) -> D
 
 
 def _midforecast(df: DataFrame, t: Table, *, region_code: str, base_time: str) -> DataFrame:
-    return df.where((F.col("region_code") == region_code) & _asked("tmFc", base_time))
+    month = f"{base_time[:4]}-{base_time[4:6]}"
+    return filters.in_months(df, month, month).where((F.col("region_code") == region_code) & _asked("tmFc", base_time))
 
 
 def _procurement(df: DataFrame, t: Table, *, begin: str, end: str,
@@ -146,6 +148,23 @@ def _kofia(df: DataFrame, t: Table, *, begin: str | None = None,
     return filters.date_range(df, t, begin, end)
 
 
+def refresh_table(captures: DataFrame, name: str, path: str, stage: str | None = None, pages: str | None = None) -> None:
+    """Bring a stored table up to date with captures: a keyed one is merged, a wide one replaced as far
+    as complete fetches cover it by their request parameters, also where they found nothing, and
+    by the rows they found."""
+    t = find_table(name)
+    if pages is not None:
+        held = layer_pages(captures, pages, t)
+    else:
+        held = stage_pages(parse_pages(_of_operation(captures, t), t), stage or shared_folder(captures.sparkSession))
+    good = complete_only(held, page_audit(held))
+    rows = clean_rows(raw_rows(good), t, ROW_LINEAGE)
+    if t.wide:
+        replace_table(rows, path, t, covered=coverage(good, t))
+    else:
+        upsert_table(rows, path, t)
+
+
 def _latest(t: Table, now: Column | None) -> Column:
     return latest_announcement(F.current_timestamp() if now is None else now, t.name)
 

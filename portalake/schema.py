@@ -8,6 +8,10 @@ from dataclasses import dataclass, field as dc_field
 from pyspark.sql import Column
 from pyspark.sql import types as T
 
+#: The month that stored tables are laid out by, as yyyy-MM: of a row's date, or of the period the
+#: table declares.
+PERIOD = "part_month"
+
 # Column kinds and the Spark type each one is stored as.
 SPARK_TYPES: dict[str, T.DataType] = {
     "date_ymd": T.StringType(),   # ISO yyyy-MM-dd: sorts like the date

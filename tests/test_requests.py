@@ -6,7 +6,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from portalake import CAPTURE_SCHEMA, fetch, read_captures, table, typed_rows, write_captures
+from portalake import fetch, read_captures, table, typed_rows, write_captures
 from portalake.operators.requests import Request, coverage, of_captures
 from portalake.sources.pages import layer_folder, stored_pages, update_pages
 from tests.test_sinks import _body, _capture, _captures, _fund
@@ -97,7 +97,8 @@ def test_time_of_capture_reaches_the_scan(spark, folder):
 
 def test_coverage_is_read_from_parameters(spark):
     asked = {"nx": "60", "ny": "127", "base_date": "20250105", "base_time": "0500"}
-    df = spark.createDataFrame([(asked,), (asked,), ({"nx": "60"},), ({},)], CAPTURE_SCHEMA["params"].dataType.simpleString().join(("params ", "")))
+    rows = [("a", dt.datetime(2025, 1, 6), asked), ("a", dt.datetime(2025, 1, 5), asked), ("b", None, {"nx": "60"}), ("c", None, {})]
+    df = spark.createDataFrame(rows, "capture_id string, captured_at timestamp, params map<string,string>")
     got = [r.asDict() for r in coverage(df, NOW).collect()]
-    assert got == [{"first": "20250105", "last": "20250105", "base_time": "0500", "nx": "60", "ny": "127"}]
+    assert got == [{"capture_id": "a", "first": "20250105", "last": "20250105", "base_time": "0500", "nx": "60", "ny": "127", "began": dt.datetime(2025, 1, 5)}]
     assert coverage(df, table("airquality.by_sido")).count() == 0
