@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,36 +44,88 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-class ByteLevel:
-    """Token ids of a byte-level vocabulary file, of a space and the text; and each id's bytes."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        alphabet = byte_level_alphabet()
-        vocabulary = self.tokenizer.get_vocab()
-        self.bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.bytes[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
-
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-
-
-class Pieces:
-    """The same of a sentence-piece model, which adds the space itself."""
-
-    def __init__(self, path: str):
-        import sentencepiece
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        piece = self.model.id_to_piece
-        self.bytes = [bytes([int(piece(i)[3:5], 16)]) if self.model.is_byte(i) else piece(i).replace("▁", " ").encode()
-                      for i in range(self.model.get_piece_size())]
-
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+#: A space after one character and before another, neither of which anyone takes for white space or a
+#: mark of format. No token of either kind spans such a place, and what stands on one side of it
+#: doesn't change the tokens of the other.
+_PLAIN = r"[^\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff]"
+BREAK = re.compile(f"(?<={_PLAIN})(?= {_PLAIN})")
+#: Stretches between breaks that are remembered, and their greatest length; characters of new ones
+#: that are encoded together.
+REMEMBERED, LONGEST, TOGETHER = 200_000, 40, 20_000
+
+
+class Encoder:
+    """Texts to ids (as bytes of int32), stretch by stretch, each distinct stretch once as long as it is
+    remembered. ``encode`` gives the ids of several strings that each begin with a space; ``spelled`` are
+    the bytes of each id, ``sizes`` their lengths."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], spelled: list[bytes], parted: bool = True):
+        self.encode, self.parted = encode, parted
+        self.known, self.older = {}, {}
+        self.sizes = np.array([len(x) for x in spelled], np.int64)
+        self.flat = np.frombuffer(b"".join(spelled), np.uint8)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def spelling(self, ids: np.ndarray) -> np.ndarray:
+        """The joined bytes of ids."""
+        sizes = self.sizes[ids]
+        shift = self.starts[ids] - (np.cumsum(sizes) - sizes)
+        return self.flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+
+    def _together(self, stretches: list[str]) -> list[bytes]:
+        """Several stretches encoded as one string and cut where they end; one by one where that
+        doesn't come out even, as the bytes are not the text's."""
+        (ids,) = self.encode(["".join(stretches)])
+        ids = np.array(ids, np.int32)
+        ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum([len(s.encode()) for s in stretches])
+        at = np.searchsorted(ends, wanted)
+        if len(ends) and at[-1] == len(ends) - 1 and (ends[np.minimum(at, len(ends) - 1)] == wanted).all():
+            cuts = [0, *(at + 1).tolist()]
+            return [ids[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        return [np.array(x, np.int32).tobytes() for x in self.encode(stretches)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of a space and each text."""
+        if not self.parted:
+            return [np.array(x, np.int32).tobytes() for x in self.encode([" " + t for t in texts])]
+        cut = [BREAK.split(" " + t) for t in texts]
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for s in set(chain.from_iterable(cut)).difference(known):
+            if s in older:
+                known[s] = older[s]
+            else:
+                new.append(s)
+        long = {}
+        for i, j in _places([len(s) for s in new], TOGETHER):
+            for s, ids in zip(new[i:j], self._together(new[i:j]), strict=True):
+                (known if len(s) <= LONGEST else long)[s] = ids
+        get = known.__getitem__ if not long else lambda s: known[s] if s in known else long[s]
+        return [b"".join(map(get, parts)) for parts in cut]
+
+
+def byte_level(path: str) -> Encoder:
+    """The encoder of a byte-level vocabulary file."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    alphabet, vocabulary = byte_level_alphabet(), tokenizer.get_vocab()
+    spelled = [b""] * (max(vocabulary.values()) + 1)
+    for token, i in vocabulary.items():
+        spelled[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
+    return Encoder(lambda parts: [x.ids for x in tokenizer.encode_batch_fast(parts, add_special_tokens=False)], spelled)
+
+
+def pieces(path: str) -> Encoder:
+    """The encoder of a sentence-piece model, which adds the space itself."""
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    spelled = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+    # It is as fast on whole texts, and what it normalises need not end where a word does.
+    return Encoder(lambda parts: model.encode([s[1:] for s in parts], num_threads=1), spelled, parted=False)
 
 
 # ---- alignment ------------------------------------------------------------------------------
@@ -80,26 +134,31 @@ class Aligned:
     """Tokenizations of several texts, aligned: laid end to end, where each text's end is one that
     both share. Texts that either side does not give back byte by byte have no tokens."""
 
-    def __init__(self, texts: list[str], first: list[list[int]], second: list[list[int]], bytes_a: list[bytes], bytes_b: list[bytes]):
+    def __init__(self, texts: list[str], first: Encoder, second: Encoder):
         n = len(texts)
-        a, b = [], []
-        for t, x, y in zip(texts, first, second, strict=True):
-            whole = b" " + t.encode()
-            same = b"".join([bytes_a[i] for i in x]) == whole and b"".join([bytes_b[i] for i in y]) == whole
-            a.append(x if same else [])
-            b.append(y if same else [])
-        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        self.a, self.b = (np.fromiter((i for x in side for i in x), np.int64, int(m.sum())) for side, m in ((a, self.n_a), (b, self.n_b)))
-        end_a, end_b = (np.cumsum(np.array([len(x) for x in sizes], np.int64)[ids]) for ids, sizes in ((self.a, bytes_a), (self.b, bytes_b)))
+        kept = [[], []]
+        for t, *both in zip(texts, first(texts), second(texts), strict=True):
+            whole = np.frombuffer(b" " + t.encode(), np.uint8)
+            ids = [np.frombuffer(x, np.int32) for x in both]
+            same = all(np.array_equal(e.spelling(x), whole) for e, x in zip((first, second), ids, strict=True))
+            for side, x in zip(kept, ids, strict=True):
+                side.append(x if same else x[:0])
+        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in kept)
+        self.a, self.b = (np.concatenate(side).astype(np.int64) for side in kept)
+        end_a, end_b = np.cumsum(first.sizes[self.a]), np.cumsum(second.sizes[self.b])
+        # Ends as marks on the bytes; a running count of marks gives the token at a byte.
+        length = int(end_a[-1]) + 1 if len(end_a) else 1
+        at_a, at_b = np.zeros(length, bool), np.zeros(length, bool)
+        at_a[end_a], at_b[end_b] = True, True
+        before_a, before_b, both = (np.cumsum(x, dtype=np.int64) - x for x in (at_a, at_b, at_a & at_b))
         # Each stretch between neighbouring ends lies in one token of either side: a link.
-        ends = np.union1d(end_a, end_b)
-        self.of_a, self.of_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+        ends = np.flatnonzero(at_a | at_b)
+        self.of_a, self.of_b = before_a[ends], before_b[ends]
         text = np.repeat(np.arange(n), self.n_a)
         self.text_of_link = text[self.of_a]
-        shared = np.intersect1d(end_a, end_b, assume_unique=True)
-        self.group_a, self.group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+        self.group_a, self.group_b = both[end_a], both[end_b]
         self.n_links = np.bincount(self.text_of_link, minlength=n)
-        self.n_groups = np.bincount(text[np.searchsorted(end_a, shared)], minlength=n)
+        self.n_groups = np.bincount(text[before_a[np.flatnonzero(at_a & at_b)]], minlength=n)
 
     def pairs(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, pair (a * width + b) and number of links of each pair of ids that a text holds."""
@@ -152,14 +211,15 @@ def _places(weights: list[int], most: int) -> Iterator[tuple[int, int]]:
 MEASURES = "key binary, copies long, salts long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, times array<int>"
 
 
-def _aligner(first: Callable[[], object], second: Callable[[], object], names: pa.Schema) -> Callable:
+def _aligner(first: Callable[[], Encoder], second: Callable[[], Encoder], names: pa.Schema) -> Callable:
     """Rows of distinct texts -> rows with their pairs, and after those of a chunk one with the
     chunk's own (null key): each pair and the documents that hold it."""
     pair = names.field("codes").type.value_type
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         side_a, side_b = first(), second()
-        spelled_a, spelled_b, width = spelled(len(side_a.bytes), b"|"), spelled(len(side_b.bytes), b";"), len(side_b.bytes)
+        width = len(side_b.sizes)
+        spelled_a, spelled_b = spelled(len(side_a.sizes), b"|"), spelled(width, b";")
         held, size, chunk = [], 0, None
 
         def summary() -> pa.RecordBatch:
@@ -175,7 +235,7 @@ def _aligner(first: Callable[[], object], second: Callable[[], object], names: p
             keys, copies = batch.column("key"), batch.column("copies").to_numpy()
             for i, j in _places([len(t) for t in texts], 4 * AT_ONCE):
                 part = texts[i:j]
-                done = Aligned(part, side_a(part), side_b(part), side_a.bytes, side_b.bytes)
+                done = Aligned(part, side_a, side_b)
                 text, code, times = done.pairs(width)
                 ends = pa.array(np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32))
                 if chunk is None:   # the first text's digest names the chunk
@@ -226,13 +286,12 @@ def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["key", "salts", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
 
-def align(docs: DataFrame, first: Callable[[], object], second: Callable[[], object], sizes: tuple[int, int],
+def align(docs: DataFrame, first: Callable[[], Encoder], second: Callable[[], Encoder], sizes: tuple[int, int],
           id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Measures of every document, and the pair counts of the corpus.
 
-    ``first`` and ``second`` make the tokenizers in a task (``ByteLevel`` and ``Pieces``, or alike):
-    called with texts they give ids, and ``bytes`` has each id's bytes. ``sizes`` are their numbers
-    of ids.
+    ``first`` and ``second`` make the encoders in a task (``byte_level``, ``pieces``); ``sizes`` are their
+    numbers of ids.
 
     Measures: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``, one row for
     each row of ``docs``, also where the id is null or repeated. A text that is null, empty, or not

@@ -14,4 +14,4 @@ SIZES = (50_257, 32_000)
 
 @query("op12_alignment")
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignment.align(table(spark, sf_dir, "documents"), lambda: alignment.ByteLevel(FIRST), lambda: alignment.Pieces(SECOND), SIZES)[0]
+    return alignment.align(table(spark, sf_dir, "documents"), lambda: alignment.byte_level(FIRST), lambda: alignment.pieces(SECOND), SIZES)[0]

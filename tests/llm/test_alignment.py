@@ -5,6 +5,7 @@ import os
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -62,7 +63,7 @@ def brute(rows):
 
 
 def check(docs, rows):
-    got, counts = alignment.align(docs(*rows), lambda: alignment.ByteLevel(FIRST), lambda: alignment.Pieces(SECOND), SIZES)
+    got, counts = alignment.align(docs(*rows), lambda: alignment.byte_level(FIRST), lambda: alignment.pieces(SECOND), SIZES)
     want, pairs = brute(rows)
     assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert sorted((r.doc_id if r.doc_id is not None else -1, *r[1:]) for r in got.collect()) == want
@@ -77,6 +78,20 @@ def test_odd_rows(docs):
     check(docs, [])
 
 
+def test_stretches_give_the_tokens_of_whole_texts(llm):
+    """Encoding stretch by stretch is the same as at once, whatever stands between words."""
+    rng = random.Random(5)
+    words = ["a", "the", "don't", "\u00e9t\u00e9", "\u4e2d\u6587", "12", "...", "x_y", "\u0301a", "\u200b", "\u00a0", "\u2581", "<s>", "\U0001f600", "\u0130", "\u1112\u1161", "\x1c", "\ufb01", "'s"]
+    gaps = [" ", " ", " ", "  ", "\n", "\t", " \n ", "\u3000", "\u00a0", "", "\u2009", "\r\n", "\x85", "\u180e"]
+    texts = ["".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randrange(1, 40))) for _ in range(1500)]
+    if os.path.isdir(SF):
+        texts += [r.text for r in llm.read.parquet(SF + "/documents.parquet").select("text").collect() if r.text]
+    for encoder in (alignment.byte_level(FIRST), alignment.pieces(SECOND)):
+        want = encoder.encode([" " + t for t in texts])
+        for _ in range(2):      # the second time from memory
+            assert [np.frombuffer(x, np.int32).tolist() for x in encoder(texts)] == want
+
+
 def test_chunks_and_copies(docs, monkeypatch):
     monkeypatch.setattr(alignment, "CHUNK", 300)
     monkeypatch.setattr(alignment, "AT_ONCE", 100)
