@@ -11,7 +11,8 @@ from checks import landed, untidy
 from checks.registry import add, query, raw_from
 from checks.typed import BID_COLUMNS, GRID_SQL, bid_rows, bids_sql, grid_rows
 from checks.untidy import ORDERS, read
-from portalake import clean, fetch, refresh_table, select_rows, table, write_table
+from portalake import (clean, fetch, in_order, parse_pages, raw_rows, read_bodies, refresh_table, rejects, select_rows, stage_pages,
+                       table, typed_rows, with_records, write_table)
 from portalake.session import shared_folder
 from portalake.sinks.tables import with_period
 
@@ -53,6 +54,65 @@ _stored("procurement.construction", bids_sql("opened", "1997-01-01 00:00", "1997
 _stored("weather.forecast", GRID_SQL, rows=grid_rows, nx=7, ny=127, base_date="20240105", base_time="1700")
 
 
+@query("fetch_folder_of_bodies", """
+    select cast(p_partkey as varchar) as region_code, cast(p_size as bigint) as precip_prob_4am, p_brand as sky_8
+    from part where p_partkey % 2 = 0""")
+def _(spark, sf_dir):
+    """Response files in a folder and their request records beside them: the announcement asked for is
+    told by the records alone. Every other region was asked for at another time."""
+    t, folder = table("midforecast.land"), _folder(spark)
+    rows = raw_from(read(spark, sf_dir, "part"), key="p_partkey", regId="p_partkey", rnSt4Am="p_size", wf8="p_brand")
+    pages = rows.select(F.expr("k % 40").alias("f"), "raw").groupBy("f").agg(F.collect_list(landed.xml_item(F.col("raw"))).alias("items"))
+    # A text file holds a body as one line; new lines between elements say nothing.
+    body = F.translate(landed.xml_body(F.col("items"), F.size("items").cast("string")), "\n", " ")
+    place = [F.lit(t.service).alias("service"), F.lit(t.operation).alias("operation"), F.concat(F.lit("c/"), "f").alias("capture_id"), F.lit(1).alias("page")]
+    pages.select(*place, body.alias("value")).write.partitionBy("service", "operation", "capture_id", "page").text(f"{folder}/bodies")
+    asked = F.create_map(F.lit("tmFc"), F.when(F.col("f") % 2 == 0, "202401050600").otherwise("202401051800"))
+    pages.select(*place, asked.alias("params"), F.lit(1_000_000).alias("num_of_rows")).write.parquet(f"{folder}/records")
+    captures = with_records(read_bodies(spark, f"{folder}/bodies", "xml"), spark.read.parquet(f"{folder}/records"))
+    parts = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("region_code"))
+    told = typed_rows(captures, t.full_name, keep=("params",)).where(F.col("params")["tmFc"] == "202401050600")
+    return told.join(parts, "region_code", "left_semi").select("region_code", "precip_prob_4am", "sky_8")
+
+
+@query("row_order", f"""
+    select 'long' as capture_id, cast(o_orderkey + 1 as int) as page, cast(0 as int) as pos, cast(o_orderkey as bigint) as ordinal from orders
+    union all
+    select 'fetch-' || c_custkey // {landed.FETCH_ROWS}, cast((c_custkey % {landed.FETCH_ROWS}) // {landed.PAGE_ROWS} + 1 as int),
+           cast(c_custkey % {landed.PAGE_ROWS} as int), cast(c_custkey % {landed.FETCH_ROWS} as bigint) from customer""")
+def _(spark, sf_dir):
+    """The place of every row in its fetch: one of as many pages as there are orders, and others."""
+    t = table("kofia.market_funds")
+    long = read(spark, sf_dir, "orders").withColumn("f", F.lit(0)).withColumn("page", F.col("o_orderkey").cast("int") + 1)
+    long = long.select(*landed.capture_columns(t, landed.json_body(F.array(F.lit('{"basDt": 1}')), F.lit("1")), capture_id=F.lit("long"), num_of_rows=F.lit(1)))
+    others = landed.intact(raw_from(read(spark, sf_dir, "customer"), key="c_custkey", basDt="'20240101'"), t)
+    pages = stage_pages(parse_pages(long.unionByName(others), t), _folder(spark))
+    return raw_rows(in_order(pages)).select("capture_id", "page", "pos", "ordinal")
+
+
+@query("exact_whole_numbers", """
+    select o_orderkey as k, case when o_orderkey = 0 then '0' else o_orderkey || '00000000000000000000' end as export_usd,
+           case when o_orderkey % 4 = 0 then null else cast(-o_orderkey as varchar) end as import_usd from orders""")
+def _(spark, sf_dir):
+    """Numbers of 21 digits and more in a column that the table has as exact."""
+    t = table("customs.item_trade").exact("export_usd", "import_usd")
+    rows = raw_from(read(spark, sf_dir, "orders"), key="o_orderkey", year="'2024.01'", hsCode="'1'",
+                    expDlr="concat(' ', o_orderkey, '00,000,000,000,000,000,000', if(o_orderkey % 2 = 0, '.00', ''))",
+                    impDlr="if(o_orderkey % 4 = 0, concat('1', repeat('0', 38)), concat('-', o_orderkey))")
+    text = lambda c: F.col(c).cast("string").alias(c)
+    return clean(rows, t, keep=("k",)).select("k", text("export_usd"), text("import_usd"))
+
+
+@query("rejects_past_38_digits", """
+    select o_orderkey as k, 'export_usd' as missing, 'out of range' as reason from orders where o_orderkey % 5 = 0""")
+def _(spark, sf_dir):
+    """Of an exact column only numbers past 38 digits, or past 64 bits in scientific notation, are rejected."""
+    t = table("customs.item_trade").exact("export_usd")
+    rows = raw_from(read(spark, sf_dir, "orders"), key="o_orderkey", year="'2024.01'", hsCode="'1'",
+                    expDlr="if(o_orderkey % 5 = 0, if(o_orderkey % 2 = 0, concat('1', repeat('0', 38)), '1E20'), repeat('9', 38))")
+    return rejects(rows, t, keep=("k",)).select("k", "missing", "reason")
+
+
 _NOWCAST = table("weather.nowcast")
 
 

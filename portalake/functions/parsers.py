@@ -65,6 +65,15 @@ def _read_integer(x: Column) -> Column:
             .when(x.rlike(_FLOAT) & whole, value.try_cast("bigint")))
 
 
+def _read_whole(x: Column) -> Column:
+    value = x.try_cast("double")
+    whole = (value % 1 == 0) & (F.abs(value) < _LONG_LIMIT)
+    exact = "decimal(38,0)"
+    return (F.when(x.rlike(_INT), x.try_cast(exact))
+            .when(x.rlike(_ZERO_FRACTION), F.substring_index(x, ".", 1).try_cast(exact))
+            .when(x.rlike(_FLOAT) & whole, value.try_cast("bigint").cast(exact)))
+
+
 def _read_ratio(x: Column) -> Column:
     # The pattern keeps out what a cast would also take, such as a hexadecimal number or a
     # type suffix.
@@ -81,6 +90,9 @@ text = Parser(strip, _read_text)
 # Exact whole number: ``1,234`` and ``1234.0`` are whole, ``3.8`` is NULL; scientific notation
 # counts if its value is whole. Beyond 64 bits -> NULL.
 integer = Parser(_number_text, _read_integer)
+# The same as DECIMAL(38, 0), for columns whose numbers may pass 64 bits. One in scientific notation
+# is a double, and beyond 64 bits not exact: NULL.
+whole = Parser(_number_text, _read_whole)
 # Finite double; commas dropped.
 ratio = Parser(_number_text, _read_ratio)
 # Same reading as a ratio; a kind of its own so that schemas say what a column holds.
@@ -91,17 +103,24 @@ BY_KIND = {
     "date_ym": date_ym,
     "text": text,
     "int": integer,
+    "whole": whole,
     "ratio": ratio,
     "decimal": decimal,
 }
 
 
 def out_of_range(tidy: Column) -> Column:
-    """Whether a tidied value is a whole number that does not fit 64 bits."""
+    """Whether a tidied value that was not read is a whole number, so one that is too large for its
+    column."""
     value = tidy.try_cast("double")
     return F.coalesce(tidy.rlike(_FLOAT) & (value % 1 == 0) & (F.abs(value) >= _LONG_LIMIT), F.lit(False))
 
 
+def perhaps_large(tidy: Column) -> Column:
+    """A quick look that no number out of range fails: it takes 19 digits or an exponent."""
+    return (F.length(tidy) > 18) | tidy.contains("e") | tidy.contains("E")
+
+
 def whole_number(c: Column) -> Column:
     """Optional sign and digits, blanks around allowed, as BIGINT; anything else -> NULL."""
     x = strip(c)

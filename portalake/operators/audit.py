@@ -17,26 +17,14 @@ def _same(a: DataFrame, b: DataFrame, *columns: str) -> Column:
     return condition
 
 
-def page_audit(pages: DataFrame) -> DataFrame:
-    """One row per capture: ``status``, ``rows``, ``total``, ``last_page``, ``code``,
-    ``message``.
-
-    Pages are judged in order and the first page that ends the fetch decides: the declared
-    total is reached (``complete``) or passed (``duplicated``), an empty page comes too early
-    (``truncated``), a short page ends a fetch without totals (``complete``), or the page
-    itself failed (its own status). A page number missing from the sequence is
-    ``incomplete``, and so is a page without a number from 1 up. A page landed twice counts
-    once if its copies are alike (``fingerprint``), else the fetch is ``repeated``.
-
-    Only the narrow page columns are shuffled, copies folded before it. The running count of
-    rows is taken in two levels, over blocks of pages and within a block, so that a capture
-    of any number of pages is spread over tasks.
-    """
-    alike = (F.countDistinct("fingerprint") if "fingerprint" in pages.columns else F.count(F.lit(1)))
+def _counted(pages: DataFrame) -> DataFrame:
+    """The facts of each page, copies folded, with the number of rows and of pages up to it
+    (``rows``, ``nth``), counted in two levels."""
+    copied = F.min("fingerprint") != F.max("fingerprint") if "fingerprint" in pages.columns else F.count(F.lit(1)) > 1
     number = F.when(F.col("page") >= 1, F.col("page").cast("bigint")).otherwise(0)
     narrow = (pages.withColumn("page", number)
               .groupBy("capture_id", "page")
-              .agg(alike.alias("copies"),
+              .agg(copied.alias("copied"),
                    F.max("num_of_rows").alias("num_of_rows"),
                    F.max("n").cast("bigint").alias("n"), F.max("total").alias("total"),
                    F.max("status").alias("page_status"),
@@ -49,12 +37,44 @@ def page_audit(pages: DataFrame) -> DataFrame:
     in_order = Window.partitionBy("capture_id", "block").orderBy("page")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = narrow.select("*", F.sum("n").over(so_far).alias("in_block"), F.row_number().over(in_order).alias("place"))
-    judged = (counted.join(starts, _same(counted, starts, "block"))
-              .select(counted["*"], (F.col("rows_before") + F.col("in_block")).alias("rows"),
-                      (F.col("pages_before") + F.col("place")).alias("nth")))
+    return (counted.join(starts, _same(counted, starts, "block"))
+            .select(counted["*"], (F.col("rows_before") + F.col("in_block")).alias("rows"),
+                    (F.col("pages_before") + F.col("place")).alias("nth")))
+
+
+def page_starts(pages: DataFrame) -> DataFrame:
+    """``capture_id, page, rows_before``: the rows of a fetch on the pages before. No task takes more than
+    a block of pages of one capture."""
+    return _counted(pages).select("capture_id", "page", (F.col("rows") - F.col("n")).alias("rows_before"))
+
+
+def in_order(pages: DataFrame) -> DataFrame:
+    """Pages with ``rows_before``, from which ``raw_rows`` gives each row its place in the whole fetch
+    (``ordinal``). Pages without a number have none."""
+    starts = page_starts(pages)
+    return (pages.join(starts, _same(pages, starts, "page"), "left")
+            .select(pages["*"], starts["rows_before"]))
+
+
+def page_audit(pages: DataFrame) -> DataFrame:
+    """One row per capture: ``status``, ``rows``, ``total``, ``last_page``, ``code``,
+    ``message``.
+
+    Pages are judged in order and the first page that ends the fetch decides: the declared
+    total is reached (``complete``) or passed (``duplicated``), an empty page comes too early
+    (``truncated``), a short page ends a fetch without totals (``complete``), or the page
+    itself failed (its own status). A page number missing from the sequence is
+    ``incomplete``, and so is a page without a number from 1 up. A page landed twice counts
+    once if its copies are alike (``fingerprint``), else the fetch is ``repeated``.
+
+    Only the narrow page columns are shuffled, copies folded before it. The running count of
+    rows is taken in two levels, over blocks of pages and within a block, so that a capture
+    of any number of pages is spread over tasks.
+    """
+    judged = _counted(pages)
     rows, total, n = F.col("rows"), F.col("total"), F.col("n")
     outcome = (F.when(F.col("nth") != F.col("page"), "incomplete")
-               .when(F.col("copies") > 1, "repeated")
+               .when(F.col("copied"), "repeated")
                .when(~F.col("page_status").isin("ok", "no_data"), F.col("page_status"))
                .when(rows > total, "duplicated")
                .when(rows == total, "complete")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portalake.functions.parsers import BY_KIND, out_of_range
+from portalake.functions.parsers import BY_KIND, out_of_range, perhaps_large
 from portalake.schema import Field, Table
 
 
@@ -25,7 +25,7 @@ def _projected(rows: DataFrame, table: Table, keep: tuple[str, ...], raw: str) -
     """Kept and typed columns, and the tidied text of whole numbers beside them."""
     tidy = [BY_KIND[f.kind].tidy(_source(f, table, F.col(raw))).alias(f"_{f.column}")
             for f in table.fields]
-    text = [F.col(f"_{f.column}") for f in table.fields if f.kind == "int"]
+    text = [F.col(f"_{f.column}") for f in _whole_numbers(table)]
     return rows.select(*keep, *tidy).select(*keep, *[_typed(f) for f in table.fields], *text)
 
 
@@ -41,21 +41,27 @@ def _all_present(table: Table) -> Column:
                   F.lit(True))
 
 
-def _unread(table: Table) -> Column:
-    """Texts of whole-number columns that came out NULL, with the column; one array, so that wide
-    tables don't repeat the test in generated code for each column."""
-    return F.array(*[F.struct(F.lit(f.column).alias("column"), F.when(F.col(f.column).isNull(), F.col(f"_{f.column}")).alias("text"))
-                     for f in table.fields if f.kind == "int"])
+def _whole_numbers(table: Table) -> list[Field]:
+    return [f for f in table.fields if f.kind in ("int", "whole")]
 
 
-def _has_whole_numbers(table: Table) -> bool:
-    return any(f.kind == "int" for f in table.fields)
+def _too_large(table: Table) -> Column:
+    """The first column whose whole number was not read for its size. Texts of those that came out
+    NULL are put in one array, so that wide tables don't repeat the test in generated code for
+    each column, and only in rows where one of them is long enough."""
+    fields = _whole_numbers(table)
+    if not fields:
+        return F.lit(None).cast("string")
+    unread = F.array(*[F.struct(F.lit(f.column).alias("column"), F.when(F.col(f.column).isNull(), F.col(f"_{f.column}")).alias("text")) for f in fields])
+    perhaps = reduce(lambda a, b: a | b, (F.col(f.column).isNull() & F.coalesce(perhaps_large(F.col(f"_{f.column}")), F.lit(False)) for f in fields))
+    return F.when(perhaps, F.get(F.filter(unread, lambda x: out_of_range(x["text"])), F.lit(0))["column"])
 
 
 def clean(rows: DataFrame, table: Table, keep: tuple[str, ...] = (),
           raw: str = "raw") -> DataFrame:
     """Typed rows that have their dates and, unless the table is wide, all key parts. A whole
-    number past 64 bits is NULL here; :func:`rejects` names the row."""
+    number past its column (64 bits, or 38 digits where the table is ``exact``) is NULL here;
+    :func:`rejects` names the row."""
     typed = project(rows, table, keep, raw)
     return typed.where(_all_present(table)) if table.required_columns else typed
 
@@ -66,9 +72,7 @@ def rejects(rows: DataFrame, table: Table, keep: tuple[str, ...] = (),
     not keep a whole number, ``out of range``; ``missing`` names the first column that is so."""
     lacking = F.coalesce(*[F.when(F.col(c).isNull(), c) for c in table.required_columns],
                          F.lit(None).cast("string"))
-    large = (F.get(F.filter(_unread(table), lambda x: out_of_range(x["text"])), F.lit(0))["column"]
-             if _has_whole_numbers(table) else F.lit(None).cast("string"))
-    found = _projected(rows, table, keep, raw).select(*keep, *table.columns, large.alias("_large"), lacking.alias("_lacking"))
+    found = _projected(rows, table, keep, raw).select(*keep, *table.columns, _too_large(table).alias("_large"), lacking.alias("_lacking"))
     return (found.where(F.col("_large").isNotNull() | F.col("_lacking").isNotNull())
             .select(*keep, *table.columns, F.coalesce("_large", "_lacking").alias("missing"),
                     F.when(F.col("_large").isNotNull(), "out of range").otherwise("missing").alias("reason")))

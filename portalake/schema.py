@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field as dc_field
+from dataclasses import dataclass, field as dc_field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import types as T
@@ -18,6 +18,7 @@ SPARK_TYPES: dict[str, T.DataType] = {
     "date_ym": T.StringType(),    # ISO yyyy-MM
     "text": T.StringType(),
     "int": T.LongType(),
+    "whole": T.DecimalType(38, 0),
     "ratio": T.DoubleType(),
     "decimal": T.DoubleType(),
 }
@@ -82,6 +83,13 @@ class Table:
             if repeated:
                 raise ValueError(f"{self.full_name}: repeated {what} {repeated}")
 
+    def exact(self, *columns: str) -> Table:
+        """The same table with these whole-number columns as DECIMAL(38, 0), so that numbers of 19 to 38
+        digits are kept."""
+        if unknown := sorted(set(columns) - {f.column for f in self.fields if f.kind in ("int", "whole")}):
+            raise ValueError(f"{self.full_name}: no whole-number columns {unknown}")
+        return replace(self, fields=tuple(replace(f, kind="whole") if f.column in columns else f for f in self.fields))
+
     @property
     def full_name(self) -> str:
         return f"{self.service}.{self.name}"

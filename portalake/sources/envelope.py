@@ -243,10 +243,15 @@ def sift_rows(pages: DataFrame, test: Callable[[Column], Column]) -> DataFrame:
 
 def raw_rows(pages: DataFrame) -> DataFrame:
     """One row per vendor row, in page order by ``(capture_id, page, pos)``; a JSON null in a
-    map row becomes empty text."""
+    map row becomes empty text. Of pages that are ``audit.in_order`` each row also has its place in
+    the whole fetch, from 0 (``ordinal``)."""
+    more = ["rows_before"] if "rows_before" in pages.columns else []
     if "found" in pages.columns:
-        return pages.select(*LINEAGE, "service", "operation", F.inline("found"))
-    rows = pages.select(*LINEAGE, "service", "operation", F.posexplode("items").alias("pos", "raw"))
+        rows = pages.select(*LINEAGE, "service", "operation", *more, F.inline("found"))
+    else:
+        rows = pages.select(*LINEAGE, "service", "operation", *more, F.posexplode("items").alias("pos", "raw"))
+    if more:
+        rows = rows.withColumn("ordinal", F.col("rows_before") + F.col("pos")).drop("rows_before")
     if isinstance(rows.schema["raw"].dataType, T.MapType):
         rows = rows.withColumn("raw", F.transform_values(
             "raw", lambda k, v: F.coalesce(v, F.lit(""))))

@@ -12,8 +12,10 @@ TABLES: dict[str, Table] = {
 }
 
 
-def table(name: str) -> Table:
-    """A table by ``service.name``."""
+def table(name: str | Table) -> Table:
+    """A table by ``service.name``; one that is given, such as an ``exact`` one, as it is."""
+    if isinstance(name, Table):
+        return name
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}; one of {list(TABLES)}")
     return TABLES[name]
