@@ -58,6 +58,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders in a folder."""
+    p, fs = _path(spark, path)
+    return [s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder of rows that nothing reads any more, through the store it is in."""
     p, fs = _path(spark, path)
