@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks.registry import add, query
 from checks.untidy import read
 from portalake import (grid_cell, latest_announcement, replace_periods, resolve_land_zone,
-                       resolve_region, resolve_temp_city, rows_to_json, table, upsert_by_key,
+                       resolve_named, resolve_region, resolve_temp_city, rows_to_json, table, upsert_by_key,
                        with_row_id)
 from portalake.functions.announcements import SCHEDULES
 from portalake.functions.text import nfc
@@ -146,6 +146,22 @@ def _(spark, sf_dir):
     return _flat(resolve_temp_city(_asked(spark, sf_dir, TOWNS), cities))
 
 
+@query("resolve_many_names", """
+    with names as (select o_orderkey || '-' || o_custkey as name, cast(o_orderkey as varchar) as code from orders),
+      asked as (select c_custkey, case when c_custkey % 5 = 0 then null when c_custkey % 5 = 1 then c_custkey || '-' || c_custkey else c_custkey || '-' end as query from customer),
+      found as (select c_custkey, count(name) as n, min(code) as code, string_agg(name, ', ' order by name) as candidates
+                from asked join names on contains(name, query) group by c_custkey)
+    select a.c_custkey, a.query, case when coalesce(n, 0) = 0 then 'none' when n = 1 then 'ok' else 'ambiguous' end as status,
+           case when n = 1 then code end as code, case when n between 2 and 1000 then candidates end as candidates
+    from asked a left join found f on f.c_custkey = a.c_custkey""")
+def _(spark, sf_dir):
+    """As many names as orders; a fifth of the rows ask nothing."""
+    names = read(spark, sf_dir, "orders").select(F.concat_ws("-", "o_orderkey", "o_custkey").alias("name"), F.col("o_orderkey").cast("string").alias("code"))
+    key = F.col("c_custkey").cast("string")
+    asked = F.when(F.col("c_custkey") % 5 == 0, None).when(F.col("c_custkey") % 5 == 1, F.concat_ws("-", key, key)).otherwise(F.concat(key, F.lit("-")))
+    return _flat(resolve_named(read(spark, sf_dir, "customer").select("c_custkey", asked.alias("query")), names))
+
+
 @query("nfc", "select doc_id, nfc_normalize(text) as text from documents")
 def _(spark, sf_dir):
     # Take two letters apart first, so that there is something to compose.

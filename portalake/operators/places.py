@@ -72,11 +72,14 @@ def districts_from_legal_codes(codes: DataFrame) -> DataFrame:
 
 
 def _resolve(queries: DataFrame, query: str, look_up) -> DataFrame:
-    """Resolve the distinct values of ``query`` and attach the result to every row."""
+    """Resolve the distinct values of ``query`` and attach the result to every row. Rows without a
+    query have a key of their own each, or they would all meet in one task."""
     distinct = queries.select(F.col(query).alias("_query")).where(
         F.col("_query").isNotNull()).distinct()
-    resolved = look_up(distinct.withColumn("_text", nfc("_query")))
-    return (queries.join(resolved, F.col(query) == F.col("_query"), "left").drop("_query")
+    resolved = look_up(distinct.withColumn("_text", nfc("_query"))).withColumn("_spread", F.lit(0).cast("bigint"))
+    spread = F.when(F.col(query).isNull(), F.monotonically_increasing_id()).otherwise(0)
+    same = (F.col(query) == F.col("_query")) & (F.col("_place") == F.col("_spread"))
+    return (queries.withColumn("_place", spread).join(resolved, same, "left").drop("_query", "_place", "_spread")
             .withColumn("status", F.coalesce("status", F.lit("none"))))
 
 
@@ -136,30 +139,57 @@ def resolve_region(queries: DataFrame, districts: DataFrame, query: str = "query
     return _strict(_resolve(queries, query, look_up), strict)
 
 
+# Names that an ambiguous query lists; of more only the status is told.
+LISTED = 1000
+
+
+def _pairs_of_letters(text: Column) -> Column:
+    """The distinct neighbouring letters of a text; of one letter that letter."""
+    n = F.greatest(F.length(text) - 1, F.lit(1))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(text, i, F.lit(2))))
+
+
 def resolve_named(queries: DataFrame, names: DataFrame, query: str = "query",
-                  strict: bool = False) -> DataFrame:
+                  strict: bool = False, listed: int = LISTED) -> DataFrame:
     """Code of a named zone or city (``names``: name, code): adds ``status``, ``code`` and
-    ``candidates``. An exact name wins, otherwise the names that contain the query count.
+    ``candidates``. An exact name wins, otherwise the names that contain the query count. The
+    candidates of a query that fits more than ``listed`` names are not listed.
 
-    Every part of every name is a key of the index, so containment is an equality too.
+    The index has a row for each letter and each two neighbouring letters of a name, so it grows
+    with the names' lengths. A query is looked up under the rarest pair it has, and what stands
+    there is tested for the whole query. A blank query fits all names, and is answered by their
+    number. Names without text are left out.
     """
+    names = (names.where(F.length("name") > 0).groupBy("name", "code").agg(F.count(F.lit(1)).alias("_times")))
     name = F.col("name")
-    starts = F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1)))
-    # The empty part is in every name, once.
-    parts = F.array_distinct(F.concat(F.array(F.lit("")), F.flatten(F.transform(
-        starts, lambda i: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(name) - i + 1, F.lit(1))),
-            lambda n: F.substr(name, i, n))))))
-    index = (names.select("name", "code", F.explode(parts).alias("_key"))
-             .groupBy("_key").agg(F.collect_list(F.struct(
-                 "name", "code", (F.col("name") == F.col("_key")).alias("exact"))).alias("_names")))
-    exact = F.filter("_names", lambda d: d["exact"])
-    best = F.when(F.size(exact) > 0, exact).otherwise(F.col("_names"))
+    letters = F.transform(F.sequence(F.lit(1), F.length(name)), lambda i: F.substr(name, i, F.lit(1)))
+    index = names.select("name", "code", "_times", F.explode(F.array_distinct(F.concat(letters, _pairs_of_letters(name)))).alias("_pair"))
+    held = index.groupBy("_pair").agg(F.count(F.lit(1)).alias("_held"))
 
     def look_up(distinct: DataFrame) -> DataFrame:
         keyed = distinct.select("_query", strip(F.col("_text")).alias("_key"))
-        hits = keyed.join(index, "_key", "left").select("_query", best.alias("_found"))
-        return hits.select("_query", *_outcome(F.col("_found"), lambda d: d["name"]))
+        asked = keyed.where("_key <> ''").select("*", F.explode(_pairs_of_letters(F.col("_key"))).alias("_pair"))
+        rarest = (asked.join(held, "_pair", "left").groupBy("_query", "_key")
+                  .agg(F.min_by("_pair", "_held").alias("_pair"), F.every(F.col("_held").isNotNull()).alias("_met"))
+                  .where("_met").drop("_met"))
+        hits = (rarest.join(index, "_pair").where(F.contains("name", F.col("_key")))
+                .select("_query", "name", "code", "_times", (F.col("name") == F.col("_key")).alias("_exact")))
+        of_query = F.sum("_times").alias("_n"), F.sum(F.when(F.col("_exact"), F.col("_times"))).alias("_exactly"), \
+            F.min("code").alias("_code"), F.min(F.when(F.col("_exact"), F.col("code"))).alias("_exact_code")
+        # All names fit a blank query: it has the count of all as its own.
+        every = names.agg(F.sum("_times").alias("_n"), F.min("code").alias("_code")).withColumn("_key", F.lit(""))
+        blank = keyed.where("_key = ''").join(every, "_key").select("_query", "_n", F.lit(None).cast("bigint").alias("_exactly"), "_code", F.lit(None).cast("string").alias("_exact_code"))
+        counted = (hits.groupBy("_query").agg(*of_query).unionByName(blank)
+                   .select("_query", F.coalesce("_exactly", "_n").alias("_n"), F.coalesce("_exact_code", "_code").alias("code"), F.col("_exactly").isNotNull().alias("_only_exact")))
+        few = counted.where((F.col("_n") > 1) & (F.col("_n") <= listed)).select("_query", "_only_exact")
+        everything = keyed.where("_key = ''").join(names.withColumn("_key", F.lit("")), "_key").join(few.select("_query"), "_query") \
+            .select("_query", "name", "_times")
+        listing = (hits.join(few, "_query").where("_exact or not _only_exact").select("_query", "name", "_times").unionByName(everything)
+                   .groupBy("_query").agg(F.flatten(F.collect_list(F.array_repeat("name", F.col("_times").cast("int")))).alias("candidates")))
+        n = F.col("_n")
+        return (counted.join(listing, "_query", "left")
+                .select("_query", F.when(n == 0, "none").when(n == 1, "ok").otherwise("ambiguous").alias("status"),
+                        F.when(n == 1, F.col("code")).alias("code"), F.array_sort("candidates").alias("candidates")))
 
     return _strict(_resolve(queries, query, look_up), strict)
 

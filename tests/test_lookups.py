@@ -56,6 +56,24 @@ def test_names_against_brute_force(spark):
     assert resolve_temp_city(df.select("query"), spark.createDataFrame(names, "name string, code string")).count() == 11
 
 
+def test_index_grows_with_the_names_and_queries_without_text_are_spread(spark):
+    """A blank query among many names is counted, not listed; null queries don't meet in one task."""
+    names = spark.range(3000).selectExpr("concat('place ', id, ' of the same length') as name", "cast(id as string) as code")
+    queries = spark.range(0, 900, 1, 3).selectExpr("case id % 3 when 0 then '' when 1 then concat('place ', id, ' of  ') end as query")
+    got = resolve_named(queries, names)
+    rows = got.collect()
+    assert len(rows) == 900
+    for r in rows:
+        if r.query is None:
+            assert (r.status, r.code, r.candidates) == ("none", None, None)
+        else:
+            assert (r.status, r.candidates) == (("ambiguous", None) if r.query == "" else ("ok", None))
+    assert [r.status for r in resolve_named(spark.createDataFrame([("",)], "query string"), names.limit(1)).collect()] == ["ok"]
+    assert [r.status for r in resolve_named(spark.createDataFrame([("",), ("a",)], "query string"), names.limit(0)).collect()] == ["none", "none"]
+    few = resolve_named(spark.createDataFrame([("place",)], "query string"), names, listed=2).first()
+    assert (few.status, few.candidates) == ("ambiguous", None)
+
+
 def test_districts_from_the_public_code_list(spark):
     codes = [("1100000000", "서울특별시", True), ("1111000000", "서울특별시 종로구", True),
              ("1111010100", "서울특별시 종로구 청운동", True), ("4111000000", "경기도 수원시", True),
