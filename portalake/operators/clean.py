@@ -16,9 +16,20 @@ def _source(field: Field, table: Table, raw: Column) -> Column:
     return derive(raw) if derive else raw[field.token]
 
 
-def _typed(field: Field) -> Column:
+#: Columns that one generated method types at a speed the JVM will compile.
+NARROW = 8
+
+
+def _apart(value: Column) -> Column:
+    """The same value, by an expression that is left out of whole-stage code. Spark then generates
+    its projection by itself, in methods small enough to be compiled, whatever the session's limit
+    for generated methods is; of a wide table they would be one that is interpreted."""
+    return F.element_at(F.transform(F.array(value), lambda x: x), 1)
+
+
+def _typed(field: Field, apart: bool = False) -> Column:
     value = BY_KIND[field.kind].read(F.col(f"_{field.column}"))
-    return value.alias(field.column, metadata=field.struct_field.metadata)
+    return (_apart(value) if apart else value).alias(field.column, metadata=field.struct_field.metadata)
 
 
 def _projected(rows: DataFrame, table: Table, keep: tuple[str, ...], raw: str) -> DataFrame:
@@ -26,7 +37,10 @@ def _projected(rows: DataFrame, table: Table, keep: tuple[str, ...], raw: str) -
     tidy = [BY_KIND[f.kind].tidy(_source(f, table, F.col(raw))).alias(f"_{f.column}")
             for f in table.fields]
     text = [F.col(f"_{f.column}") for f in _whole_numbers(table)]
-    return rows.select(*keep, *tidy).select(*keep, *[_typed(f) for f in table.fields], *text)
+    # One such column takes its whole projection out; the last is the least likely to be filtered by.
+    wide = len(table.fields) > NARROW
+    typed = [_typed(f, wide and f is table.fields[-1]) for f in table.fields]
+    return rows.select(*keep, *tidy).select(*keep, *typed, *text)
 
 
 def project(rows: DataFrame, table: Table, keep: tuple[str, ...] = (),

@@ -177,7 +177,7 @@ def resolve_named(queries: DataFrame, names: DataFrame, query: str = "query",
         of_query = F.sum("_times").alias("_n"), F.sum(F.when(F.col("_exact"), F.col("_times"))).alias("_exactly"), \
             F.min("code").alias("_code"), F.min(F.when(F.col("_exact"), F.col("code"))).alias("_exact_code")
         # All names fit a blank query: it has the count of all as its own.
-        every = names.agg(F.sum("_times").alias("_n"), F.min("code").alias("_code")).withColumn("_key", F.lit(""))
+        every = names.agg(F.sum("_times").alias("_n"), F.min("code").alias("_code")).where("_n > 0").withColumn("_key", F.lit(""))
         blank = keyed.where("_key = ''").join(every, "_key").select("_query", "_n", F.lit(None).cast("bigint").alias("_exactly"), "_code", F.lit(None).cast("string").alias("_exact_code"))
         counted = (hits.groupBy("_query").agg(*of_query).unionByName(blank)
                    .select("_query", F.coalesce("_exactly", "_n").alias("_n"), F.coalesce("_exact_code", "_code").alias("code"), F.col("_exactly").isNotNull().alias("_only_exact")))

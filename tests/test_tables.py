@@ -84,3 +84,11 @@ def test_only_needed_tokens_are_read(spark, folder):
      .selectExpr(f"struct({', '.join(t.source_tokens)}) as raw").write.parquet(folder + "/rows"))
     plan = clean(spark.read.parquet(folder + "/rows"), t).select("notice_no")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<raw:struct<bidNtceNo:string>>" in plan
+
+
+def test_wide_tables_are_typed_outside_whole_stage_code(spark):
+    """The plan doesn't hang on the session's limit for generated methods."""
+    for name, apart in (("realestate.apt_trade_detail", True), ("kofia.market_funds", False)):
+        plan = clean(spark.createDataFrame([({"a": "b"},)], "raw map<string,string>"), table(name))._jdf.queryExecution().executedPlan().toString()
+        typed = [line for line in plan.splitlines() if "Project" in line][0]
+        assert ("*(" not in typed.split("Project")[0]) == apart
