@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .bpe import Tokenizer, few_at_a_time, shared
 from .common import string_column, texts
@@ -81,6 +82,19 @@ def attribute(starts: np.ndarray, ends: np.ndarray, sections: list[tuple[str, in
     return total, crossing
 
 
+def checked(sections: Sections) -> Sections:
+    """The same sections, refused where they overlap, are unsorted or lie outside the text."""
+    def run(text: str) -> list[tuple[str, int, int]]:
+        found, at = sections(text), 0
+        for name, a, b in found:
+            if not at <= a <= b <= len(text):
+                raise ValueError(f"section {name!r} from {a} to {b} of a text of {len(text)} characters, after one that ends at {at}")
+            at = b
+        return found
+
+    return run
+
+
 SCHEMA = "doc_id long, section string, section_start long, section_end long, n_tokens double, n_crossing long, doc_tokens long"
 
 
@@ -89,27 +103,60 @@ def count(docs: DataFrame, path: str, pattern: str, sections: Sections = lines,
     """One row per document and section: its span, ``n_tokens`` by the rule, ``n_crossing`` tokens
     on its boundaries, and ``doc_tokens`` of the whole document.
 
-    With sections that tile the text, a document's ``n_tokens`` sum up to ``doc_tokens``. A null
-    or empty text has no sections and no rows; repeated rows give repeated results; other columns
-    aren't read. Narrow: no shuffle.
+    With sections that tile the text, a document's ``n_tokens`` sum up to ``doc_tokens``. Sections that
+    overlap, or aren't in order, fail the job. A null or empty text has no sections and no rows;
+    repeated rows give repeated results; other columns aren't read. Narrow: no shuffle.
+    """
+    chosen = sections if sections is lines else checked(sections)
+    return _count(texts(docs, id_col, text_col), lambda batch: [chosen] * batch.num_rows, path, pattern, rule)
+
+
+def count_fields(docs: DataFrame, columns: list[str], path: str, pattern: str, separator: str = "\n\n", rule: str = "start",
+                 id_col: str = "doc_id") -> DataFrame:
+    """The same of several columns that are encoded as one text, in the order given and parted by
+    ``separator``; a section is a column. The separator belongs to the column before it, so that the
+    columns tile the text and their ``n_tokens`` sum up to ``doc_tokens``. A null or empty column has
+    no section and no separator; a row without any has no rows.
     """
+    held = [F.col(f"`{c}`").cast("string") for c in columns]
+    some = F.filter(F.array(*(F.struct(F.lit(c).alias("name"), v.alias("text")) for c, v in zip(columns, held, strict=True))), lambda x: F.length(x["text"]) > 0)
+    whole = (docs.select(F.col(id_col).cast("long").alias("doc_id"), some.alias("some"))
+             .select("doc_id", F.array_join(F.transform("some", lambda x: x["text"]), separator).alias("text"),
+                     F.transform("some", lambda x: x["name"]).alias("names"), F.transform("some", lambda x: F.length(x["text"])).alias("sizes")))
+
+    def tiled(names: list[str], sizes: list[int]) -> Sections:
+        def run(text: str) -> list[tuple[str, int, int]]:
+            out, at = [], 0
+            for name, n in zip(names, sizes, strict=True):
+                end = min(len(text), at + n + len(separator))
+                out.append((name, at, end))
+                at = end
+            return out
+
+        return run
+
+    return _count(whole, lambda batch: [tiled(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)], path, pattern, rule)
+
+
+def _count(rows: DataFrame, sections_of: Callable[[pa.RecordBatch], list[Sections]], path: str, pattern: str, rule: str) -> DataFrame:
+    """Counts of rows of ``doc_id``, ``text`` and what ``sections_of`` needs to give each row's sections."""
     if rule not in RULES:
         raise ValueError(f"rule {rule!r} is none of {RULES}")
-    sent = shared(docs.sparkSession, path, pattern)
+    sent = shared(rows.sparkSession, path, pattern)
 
-    def of_run(run: list[str], rows: list[int], tok: Tokenizer) -> Iterator[tuple]:
+    def of_run(run: list[str], rows: list[int], sections: list[Sections], tok: Tokenizer) -> Iterator[tuple]:
         for i, text, raw in zip(rows, run, tok.encode(run), strict=True):
             ids = np.frombuffer(raw, "<i4")
-            found = sections(text)
+            found = sections[i](text)
             total, crossing = attribute(*token_spans(tok, ids, text), found, rule)
             for (name, a, b), n, c in zip(found, total.tolist(), crossing.tolist(), strict=True):
                 yield i, name, a, b, n, c, len(ids)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
+            at, sections = 0, sections_of(batch)
             for some in few_at_a_time(string_column(batch, "text")):
-                rows = list(of_run(some, range(at, at + len(some)), sent.value))
+                rows = list(of_run(some, range(at, at + len(some)), sections, sent.value))
                 at += len(some)
                 if rows:
                     row, *columns = zip(*rows, strict=True)
@@ -117,4 +164,4 @@ def count(docs: DataFrame, path: str, pattern: str, sections: Sections = lines,
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *map(pa.array, columns, kinds)],
                                                      names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(run, SCHEMA)

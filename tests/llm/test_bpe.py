@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from portalake.llm import attribution, bpe
 from portalake.llm.query_bpe import PATTERN, RANKS, digests
@@ -112,3 +113,33 @@ def test_lines_sum_to_the_document(docs):
     assert "".join(("one line\n\nand two\n")[r.section_start:r.section_end] for r in sorted((r for r in got if r.doc_id == 1), key=lambda r: r.section_start)) == "one line\n\nand two\n"
     with pytest.raises(ValueError):
         attribution.count(docs(), RANKS, PATTERN, rule="middle")
+
+
+def test_fields_of_one_document(docs, llm):
+    """Columns encoded together: their tokens are those of the joined text, by where each begins."""
+    rows = [(1, "A title", "The body text, na\u00efve \U0001f600\nof two lines.", None), (2, None, "", None), (3, "", "only", "foot notes"), (None, "x", "y", "z"), (1, "A title", "again", "")]
+    df = llm.createDataFrame(rows, "doc_id long, title string, body string, notes string").withColumn("text", F.lit("other")).withColumn("names", F.lit(1))
+    got = attribution.count_fields(df, ["title", "body", "notes"], RANKS, PATTERN, separator="\n--\n").collect()
+    want = []
+    for i, *fields in rows:
+        held = [(n, f) for n, f in zip(("title", "body", "notes"), fields, strict=True) if f]
+        whole = "\n--\n".join(f for _, f in held)
+        ids, at = ENC.encode_ordinary(whole), 0
+        begins, edges = [], []
+        for n, f in held:
+            edges.append((n, at, min(len(whole), at + len(f) + 4)))
+            at = edges[-1][2]
+        done = 0
+        for t in ids:
+            begins.append(len(whole.encode()[:done].decode("utf-8", "ignore")))
+            done += len(ENC.decode_single_token_bytes(t))
+        for n, a, b in edges:
+            want.append((i, n, a, b, float(sum(a <= x < b for x in begins)), len(ids)))
+    assert sorted(((r.doc_id, r.section, r.section_start, r.section_end, r.n_tokens, r.doc_tokens) for r in got), key=str) == sorted(want, key=str)
+    assert attribution.count_fields(df.limit(0), ["title"], RANKS, PATTERN).count() == 0
+
+
+def test_sections_that_overlap_are_refused(docs):
+    for bad in ([("a", 0, 3), ("b", 2, 4)], [("b", 3, 4), ("a", 0, 1)], [("a", 0, 99)]):
+        with pytest.raises(Exception, match="section"):
+            attribution.count(docs((1, "some text")), RANKS, PATTERN, sections=lambda text, bad=bad: bad).collect()
