@@ -12,7 +12,7 @@ from portalake.operators.places import (districts_from_legal_codes, land_zones,
 from portalake.plans.datasets import (empty_fetches, fetch, generic_rows, refresh_table,
                                       refused_fetches, rejected_rows, select_rows, typed_rows, vendor_rows)
 from portalake.schema import Field, Table
-from portalake.session import settle, tune
+from portalake.session import discard, settle, tune
 from portalake.sinks.tables import (replace_table, rows_to_json, upsert_table, write_json,
                                     write_table)
 from portalake.sources.captures import (CAPTURE_SCHEMA, read_bodies, read_captures, with_records,

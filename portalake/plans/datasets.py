@@ -14,7 +14,7 @@ from portalake.operators.clean import clean as clean_rows
 from portalake.operators.clean import rejects as reject_rows
 from portalake.operators.requests import Request, coverage, of_captures, of_rows
 from portalake.schema import Table
-from portalake.session import shared_folder
+from portalake.session import shared_folder, tidied
 from portalake.sinks.tables import replace_table, upsert_table
 from portalake.sources.envelope import LINEAGE, parse_pages, raw_rows, sift_rows, stage_pages
 from portalake.sources.pages import layer_pages
@@ -151,18 +151,22 @@ def _kofia(df: DataFrame, t: Table, *, begin: str | None = None,
 def refresh_table(captures: DataFrame, name: str, path: str, stage: str | None = None, pages: str | None = None) -> None:
     """Bring a stored table up to date with captures: a keyed one is merged, a wide one replaced as far
     as complete fetches cover it by their request parameters, also where they found nothing, and
-    by the rows they found."""
+    by the rows they found. What is stored on the way is deleted, kept ``pages`` aside."""
     t = find_table(name)
-    if pages is not None:
-        held = layer_pages(captures, pages, t)
-    else:
-        held = stage_pages(parse_pages(_of_operation(captures, t), t), stage or shared_folder(captures.sparkSession))
-    good = complete_only(held, page_audit(held))
-    rows = clean_rows(raw_rows(good), t, ROW_LINEAGE)
-    if t.wide:
-        replace_table(rows, path, t, covered=coverage(good, t))
-    else:
-        upsert_table(rows, path, t)
+
+    def run() -> None:
+        if pages is not None:
+            held = layer_pages(captures, pages, t)
+        else:
+            held = stage_pages(parse_pages(_of_operation(captures, t), t), stage or shared_folder(captures.sparkSession))
+        good = complete_only(held, page_audit(held))
+        rows = clean_rows(raw_rows(good), t, ROW_LINEAGE)
+        if t.wide:
+            replace_table(rows, path, t, covered=coverage(good, t))
+        else:
+            upsert_table(rows, path, t)
+
+    tidied(run, captures.sparkSession)
 
 
 def _latest(t: Table, now: Column | None) -> Column:

@@ -75,10 +75,10 @@ def read_folders(df: DataFrame) -> set[str]:
     return {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
 
 
-def tidied(make: Callable[[], DataFrame], spark: SparkSession) -> DataFrame:
-    """What ``make`` returns. Folders that ``settle`` wrote on the way and that the result doesn't read
-    are deleted; those it reads stay until its caller has stored it, and go with an enclosing
-    ``tidied`` whose result doesn't read them."""
+def tidied(make: Callable[[], DataFrame | None], spark: SparkSession) -> DataFrame | None:
+    """What ``make`` returns, a DataFrame or nothing. Folders that ``settle`` wrote on the way and that the
+    result doesn't read are deleted; those it reads stay until its caller has stored it (and then
+    may ``discard`` it), and go with an enclosing ``tidied`` whose result doesn't read them."""
     written: list[str] = []
     token = _written.set(written)
     try:
@@ -86,7 +86,7 @@ def tidied(make: Callable[[], DataFrame], spark: SparkSession) -> DataFrame:
     finally:
         _written.reset(token)
     if written:
-        needed = read_folders(result)
+        needed = read_folders(result) if result is not None else set()
         outer = _written.get()
         for path in written:
             if path.rsplit("/", 1)[-1] not in needed:

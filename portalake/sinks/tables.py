@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from portalake.operators.merge import latest_by_key, replace_periods, RECENCY, with_row_id
 from portalake.schema import PERIOD, Table
-from portalake.session import exists, remove, settle
+from portalake.session import exists, remove, settle, tidied
 
 # The month of a request parameter that the caller names instead of the table's own period. It is
 # another column, as filters take PERIOD for the month of the rows' own dates.
@@ -113,11 +113,15 @@ def upsert_table(incoming: DataFrame, path: str, table: Table,
     months present in the new rows are read back and rewritten."""
     if table.wide or not table.key_columns:
         raise ValueError(f"{table.full_name} has no natural key: use replace_table")
-    incoming = settle(with_period(incoming, table))
-    months = _touched(incoming)
-    if months:
-        stored = stored_months(incoming, path, months)
-        write_table(latest_by_key(stored.unionByName(incoming), table.key_columns, recency), path, table=table)
+
+    def run() -> None:
+        rows = settle(with_period(incoming, table))
+        months = _touched(rows)
+        if months:
+            stored = stored_months(rows, path, months)
+            write_table(latest_by_key(stored.unionByName(rows), table.key_columns, recency), path, table=table)
+
+    tidied(run, incoming.sparkSession)
 
 
 def _covered_months(covered: DataFrame, month: str) -> DataFrame:
@@ -156,6 +160,11 @@ def replace_table(incoming: DataFrame, path: str, table: Table, period_param: st
     that a later fetch of the same did not find any more. A month that nothing is left of is
     removed.
     """
+    tidied(lambda: _replace_table(incoming, path, table, period_param, slices, covered), incoming.sparkSession)
+
+
+def _replace_table(incoming: DataFrame, path: str, table: Table, period_param: str | None, slices: list[str] | None,
+                   covered: DataFrame | None) -> None:
     incoming = with_row_id(with_period(incoming, table, period_param))
     month = month_column(incoming)
     if covered is not None and month == PERIOD:

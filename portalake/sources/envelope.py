@@ -6,7 +6,6 @@ rows in one array column, so counting pages and rows later touches no text.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +16,7 @@ from portalake.functions import status as st
 from portalake.functions.parsers import retry_after, whole_number
 from portalake.functions.text import redact, strip
 from portalake.schema import Table
+from portalake.session import settle
 
 RAW_ROW = T.MapType(T.StringType(), T.StringType())
 
@@ -229,9 +229,7 @@ def stage_pages(pages: DataFrame, path: str) -> DataFrame:
     """Write parsed pages and read them back. Auditing and reading rows each scan pages;
     staging makes them share one parse, and the audit then reads only narrow columns. Every
     call writes a folder of its own below ``path``, so several tables may share it."""
-    mine = f"{path.rstrip('/')}/pages-{uuid.uuid4().hex}"
-    pages.write.parquet(mine)
-    return pages.sparkSession.read.schema(pages.schema).parquet(mine)
+    return settle(pages, "pages", path)
 
 
 def sift_rows(pages: DataFrame, test: Callable[[Column], Column]) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from portalake.operators.audit import complete_only, page_audit
 from portalake.operators.clean import clean
-from portalake.session import exists, folders, remove, settle
+from portalake.session import exists, folders, remove, settle, tidied
 from portalake.sinks.tables import upsert_table
 from portalake.sources.captures import CAPTURE_SCHEMA
 from portalake.sources.envelope import LINEAGE, parse_pages, raw_rows
@@ -102,6 +102,9 @@ def upsert_batches(name: str, path: str, landed: str, patience: str = "30 days")
     t = find_table(name)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        tidied(lambda: take(batch, batch_id), batch.sparkSession)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         mine = batch.where((F.col("service") == t.service) & (F.col("operation") == t.operation))
         kept = f"{landed}/pages"

@@ -2,12 +2,13 @@
 
 import datetime as dt
 import glob
+import os
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from portalake import clean, refresh_table, replace_table, select_rows, table, write_table
+from portalake import clean, discard, refresh_table, replace_table, select_rows, session, table, typed_rows, write_table
 from portalake.sinks.tables import ASKED_PERIOD, with_period
 from tests.test_sinks import KEEP, _body, _captures
 
@@ -150,8 +151,14 @@ def test_months_that_a_request_spans_are_covered(spark, folder):
     assert run(capture("b", [("202502", "y")], 2, "202412", "202503")) == [("2024-11", "x"), ("2025-02", "y"), ("2025-04", "x")]
 
 
-def test_a_keyed_table_is_merged(spark, folder):
+def test_a_keyed_table_is_merged_and_nothing_else_is_left(spark, folder):
     from tests.test_sinks import _capture, _fund
+    scratch = session.shared_folder(spark).split(":", 1)[-1]
+    held = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
     for at, amount in ((1, 5), (2, 6)):
         refresh_table(_captures(spark, _capture(f"c{at}", [_fund("20250105", "a", amount)], at=at)), "kofia.fund_net_asset", folder + "/t")
     assert [r.net_asset_total for r in spark.read.parquet(folder + "/t").collect()] == [6]
+    rows = typed_rows(_captures(spark, _capture("d", [_fund("20250105", "a", 7)])), "kofia.fund_net_asset")
+    assert len(set(os.listdir(scratch)) - held) == 1 and rows.count() == 1, "what a result still reads stays"
+    discard(rows)
+    assert set(os.listdir(scratch)) - held == set()
