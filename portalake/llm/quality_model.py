@@ -108,7 +108,7 @@ def fit(labelled: DataFrame, to_pooled: float = 0.3, to_identity: float = 0.05,
 
     Each class covariance becomes (1 - to_pooled) of its own plus to_pooled of the pooled one,
     and that (1 - to_identity) plus to_identity of its mean variance on the diagonal; a class
-    with few rows leans on the pooled one in full. If one class alone has rows, every score is
+    with few rows leans on the pooled one in full. An id that has two labels counts with both. If one class alone has rows, every score is
     0.99 or 0.01; without rows it is 0.5.
     """
     width = len(NAMES)
@@ -148,7 +148,8 @@ def fit(labelled: DataFrame, to_pooled: float = 0.3, to_identity: float = 0.05,
 
 
 def score(vecs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and ``score`` of each row of ``vectors``. The model is a few small matrices."""
+    """doc_id and ``score`` of each row of ``vectors``. The model is a few small matrices. Repeated rows give
+    repeated results, a null id stays, an empty table gives none."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
