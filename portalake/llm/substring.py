@@ -5,7 +5,7 @@ is a unit, or, if it has too few words, the unit with as many of the next ones a
 short clause that two texts share by chance is no repeat. By ``passage``, the default, whole lines
 are hashed, each on its own whatever its words; very short ones are repeats only if many
 documents hold them. And runs of
-twelve words are hashed at the beginning and the end of every clause, and wherever the words
+twelve words are hashed at the beginning and the end of every sentence, and wherever the words
 themselves say so (winnowing), so that a passage is found wherever it stands, whatever marks or
 line ends stand in it or don't. For every digest the earliest occurrence, by document id and then
 by place, is kept; all later ones are taken out. What was taken out is reported with its offsets
@@ -29,6 +29,8 @@ from .common import settle, string_column
 BETWEEN = {"clause": re.compile(r"(?<=[.!?,;:])[ \t]+|\s*\n\s*"), "line": re.compile(r"\s*\n\s*"),
            "paragraph": re.compile(r"\s*\n[ \t]*\n\s*")}
 BETWEEN["passage"] = BETWEEN["line"]
+#: What stands between two sentences, or lines.
+SENTENCE = re.compile(r"(?<=[.!?])[ \t]+|\s*\n\s*")
 SPACE = re.compile(r"\s*")
 LAST = 2**63 - 1
 #: A line of fewer characters is a repeat only if so many documents hold it.
@@ -150,8 +152,8 @@ def _mix(v: np.ndarray) -> np.ndarray:
 def runs(texts: list[str]) -> tuple[np.ndarray, ...]:
     """Text number, start, end, and two hashes of the chosen runs of words, in order. Of CHOICE runs
     in turn the one with the least hash is chosen, so the choice depends on their words alone;
-    and those that begin or end with a clause, so that a passage of whole clauses is found up to
-    its ends."""
+    and those that begin or end with a sentence, so that a passage of whole sentences is found up
+    to its ends."""
     spans_of, hashes, edges = [], [], []
     held = 0
     for t in texts:
@@ -159,7 +161,7 @@ def runs(texts: list[str]) -> tuple[np.ndarray, ...]:
         spans_of.append((a, b))
         hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
         if len(found) >= RUN:
-            cuts = np.array([m.span() for m in BETWEEN["clause"].finditer(t)], np.int64).reshape(-1, 2)
+            cuts = np.array([m.span() for m in SENTENCE.finditer(t)], np.int64).reshape(-1, 2)
             begins = np.concatenate(([0], np.searchsorted(a, cuts[:, 1])))
             ends = np.append(np.searchsorted(b, cuts[:, 0], "right"), len(found)) - RUN
             inside = np.concatenate([begins, ends])
@@ -193,8 +195,12 @@ def runs(texts: list[str]) -> tuple[np.ndarray, ...]:
 def cut_spans(text: str, repeats: Iterable[tuple[int, int]], unit: str) -> tuple[str, list[tuple[int, int]], int, int]:
     """As ``cut``, of the pieces that start and end at ``repeats``; units count as removed if any
     of their text is."""
+    repeats = sorted(repeats)
+    if not repeats:
+        by_line = unit in ("line", "passage") and not text.isspace()
+        return text, [], sum(1 for line in text.split("\n") if line and not line.isspace()) if by_line else len(spans(text, unit)), 0
     merged: list[tuple[int, int]] = []
-    for a, b in sorted(repeats):
+    for a, b in repeats:
         if merged and (a <= merged[-1][1] or text[merged[-1][1]:a].isspace()):
             merged[-1] = merged[-1][0], max(b, merged[-1][1])
         else:
@@ -207,7 +213,7 @@ def cut_spans(text: str, repeats: Iterable[tuple[int, int]], unit: str) -> tuple
         at = b + rest
     begins, ends = (np.array([x[k] for x in merged], np.int64) for k in (0, 1))
     touched = sum(bool(k < len(merged) and begins[k] < b) for (_, b), k in
-                  zip(found, np.searchsorted(ends, [a for a, _ in found], "right").tolist(), strict=True)) if merged else 0
+                  zip(found, np.searchsorted(ends, [a for a, _ in found], "right").tolist(), strict=True))
     return "".join([*parts, text[at:]]), merged, len(found), touched
 
 
@@ -298,7 +304,10 @@ def dedup(docs: DataFrame, unit: str = "passage", least_words: int = 8, id_col:
     result = "text string, n_units int, n_removed int, removed array<struct<start:int,end:int>>"
 
     def run(texts, places):
-        out = [cut_spans(t, [(x["begin"], x["end"]) for x in p or ()], unit) for t, p in zip(texts.to_pylist(), places.to_pylist(), strict=True)]
+        flat = places.flatten()
+        found = list(zip(flat.field("begin").to_pylist(), flat.field("end").to_pylist(), strict=True))
+        upto = np.cumsum(places.value_lengths().fill_null(0).to_numpy()).tolist()
+        out = [cut_spans(t, found[a:b], unit) for t, a, b in zip(texts.to_pylist(), [0, *upto[:-1]], upto, strict=True)]
         ends = np.concatenate(([0], np.cumsum([len(o[1]) for o in out]))).astype(np.int32)
         pairs = [s for o in out for s in o[1]]
         pair = pa.StructArray.from_arrays([pa.array([s[0] for s in pairs], pa.int32()), pa.array([s[1] for s in pairs], pa.int32())], names=["start", "end"])
