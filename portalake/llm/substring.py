@@ -40,7 +40,7 @@ SHORT, COMMON = 12, 10
 #: from either end.
 RUN = CHOICE = 12
 #: Words of texts hashed at once, about.
-WORDS_HELD = 200_000
+WORDS_HELD = 50_000
 
 
 def _kinds() -> np.ndarray:
@@ -149,6 +149,23 @@ def _mix(v: np.ndarray) -> np.ndarray:
     return v ^ (v >> np.uint64(32))
 
 
+def _rolled(v: np.ndarray, base: int) -> np.ndarray:
+    """The polynomial hash of each RUN neighbours, put together from those of half as many."""
+    power = lambda k: np.uint64(pow(base, k, 1 << 64))
+    of, size = {1: v}, 1
+    while size * 2 <= RUN:
+        h = of[size]
+        of[size * 2] = h[:-size] * power(size) + h[size:]
+        size *= 2
+    h, held = of[size], size
+    while held < RUN:
+        size = max(k for k in of if held + k <= RUN)
+        n = len(v) - held - size + 1
+        h = h[:n] * power(size) + of[size][held:held + n]
+        held += size
+    return h
+
+
 def runs(texts: list[str]) -> tuple[np.ndarray, ...]:
     """Text number, start, end, and two hashes of the chosen runs of words, in order. Of CHOICE runs
     in turn the one with the least hash is chosen, so the choice depends on their words alone;
@@ -173,11 +190,7 @@ def runs(texts: list[str]) -> tuple[np.ndarray, ...]:
         return none, none, none, none, none
     word, owner = np.concatenate(hashes), np.repeat(np.arange(len(texts)), sizes)
     n = len(word) - RUN + 1
-    one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-    for k in range(RUN):
-        one = one * np.uint64(0x9E3779B97F4A7C15) + word[k:k + n]
-        two = two * np.uint64(0xC2B2AE3D27D4EB4F) + (word[k:k + n] >> np.uint64(7))
-    one, two = _mix(one), _mix(two)
+    one, two = _mix(_rolled(word, 0x9E3779B97F4A7C15)), _mix(_rolled(word >> np.uint64(7), 0xC2B2AE3D27D4EB4F))
     # The least of each CHOICE runs of one text, or 0; chosen is what is the least of some.
     chosen = np.zeros(n, bool)
     if n >= CHOICE:
