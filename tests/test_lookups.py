@@ -74,6 +74,20 @@ def test_index_grows_with_the_names_and_queries_without_text_are_spread(spark):
     assert (few.status, few.candidates) == ("ambiguous", None)
 
 
+def test_a_query_meets_only_the_names_that_contain_it(spark):
+    """Names whose neighbouring letters all queries share: no join puts out more rows than fit, whatever
+    a query's length. Queries of more than sixteen letters, and some met twice, against brute force."""
+    names = [(f"{i * 7919 % 3000}-{i % 300}", str(i)) for i in range(600)] + [("ab" * 20, "x"), ("ab" * 20, "x"), ("ab" * 12 + "c", "y"), ("가나" * 9 + "다", "z")]
+    queries = [f"{i}-" for i in range(200)] + [f"{i}-{i}" for i in range(50)] + ["ab" * 10, "ab" * 12 + "c", "b" + "ab" * 19, "ab" * 30, "나" + "가나" * 8 + "다", "ba" * 8, "", "a", "0"]
+    got = resolve_named(spark.createDataFrame([(q,) for q in queries], "query string"), spark.createDataFrame(names, "name string, code string"))
+    for r in got.collect():
+        hits = [n for n in names if n[0] == r.query] or [n for n in names if r.query in n[0]]
+        assert (r.status, r.code) == (("none", None) if not hits else ("ok", hits[0][1]) if len(hits) == 1 else ("ambiguous", None))
+        assert (r.candidates or []) == (sorted(n for n, _ in hits) if len(hits) > 1 else [])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_pair" not in plan and "_mark" in plan
+
+
 def test_districts_from_the_public_code_list(spark):
     codes = [("1100000000", "서울특별시", True), ("1111000000", "서울특별시 종로구", True),
              ("1111010100", "서울특별시 종로구 청운동", True), ("4111000000", "경기도 수원시", True),
