@@ -180,3 +180,20 @@ def test_filter_arguments(spark):
         filters.station_term(df, F.current_timestamp(), term="WEEK")
     no_date = spark.createDataFrame([], table("procurement.goods").schema)
     assert filters.date_range(no_date, table("procurement.goods"), "20250101") is no_date
+
+
+def test_rows_of_one_region_are_split(spark, folder):
+    """A month's region without other keys is dealt over several files."""
+    from portalake.sinks.tables import with_period, write_table
+    land = table("midforecast.land")
+    rows = spark.range(4000).selectExpr("'11B00000' as region_code", "id as precip_prob_4am", "map('tmFc', '202401050600') as params", "timestamp_seconds(1700000000) as captured_at")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        write_table(with_period(rows, land), f"{folder}/t", table=land)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    sizes = [r["count"] for r in spark.read.parquet(f"{folder}/t").groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 2000
