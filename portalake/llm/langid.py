@@ -116,30 +116,23 @@ class Model:
                 bool(self.losses(m).min() > self.bound))
 
 
-def _sample(labelled: DataFrame, per_language: int, languages: int) -> DataFrame:
-    """About ``per_language`` rows of each of the ``languages`` most frequent languages, by a hash of
-    the id: the share each language keeps follows from its count, so that a language with a
-    third of all rows costs no more. The driver gets one number for each language."""
+def _of_frequent(labelled: DataFrame, languages: int) -> DataFrame:
+    """All rows of the ``languages`` most frequent languages; the driver gets their names."""
     counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    share = {r["lang"]: min(1.0, per_language / r["count"]) for r in counts.collect()}
-    if not share:
-        return labelled.where(F.lit(False))
-    kept = F.create_map(*(x for k, v in share.items() for x in (F.lit(k), F.lit(v))))
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit("langid"), F.col("doc_id")), 11) / F.lit(float(1 << 53))
-    return labelled.where(draw < kept[F.col("lang")])
+    return labelled.where(F.col("lang").isin([r["lang"] for r in counts.collect()]))
 
 
-def fit(labelled: DataFrame, per_language: int = 20_000, smoothing: float = 0.5, languages: int = 200) -> Model:
+def fit(labelled: DataFrame, smoothing: float = 0.5, languages: int = 200) -> Model:
     """Learns from ``doc_id``, ``text`` and ``lang`` of the rows given; rows with a null language
     are left out, and so are languages beyond the ``languages`` most frequent (a column of very
     many values is no column of languages).
 
-    The classifier is fitted on a bounded sample of about ``per_language`` documents of each
-    language, whole texts. Spark adds up n-gram counts by language and bucket; the driver gets
-    2^16 numbers for each language. With no labelled rows every prediction is ``und``.
+    The classifier, its bits' weights and the bound are fitted on all these rows, whole texts. Spark
+    adds up n-gram counts by language and bucket; the driver gets 2^16 numbers for each language.
+    With no labelled rows every prediction is ``und``.
     """
     rows = labelled.where(F.col("lang").isNotNull())
-    sample = _sample(rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang")), per_language, languages)
+    rows = _of_frequent(rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang")), languages)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -155,7 +148,7 @@ def fit(labelled: DataFrame, per_language: int = 20_000, smoothing: float = 0.5,
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(total[at])],
                                              names=["lang", "bucket", "n"])
 
-    sums = (sample.mapInArrow(count, "lang string, bucket long, n double")
+    sums = (rows.mapInArrow(count, "lang string, bucket long, n double")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     langs = sorted(sums["lang"].unique())
     if not langs:
@@ -169,13 +162,13 @@ def fit(labelled: DataFrame, per_language: int = 20_000, smoothing: float = 0.5,
     weights = np.stack([np.log(share[c > 0].mean(axis=0) + floor) - np.log(share[c < 0].mean(axis=0) + floor)
                         if (c > 0).any() and (c < 0).any() else np.zeros(1 << BUCKET_BITS) for c in codes.T], axis=1)
     model = Model(langs, codes, weights.astype(np.float32), np.ones(codes.shape[1]))
-    _weigh_bits(model, sample)
+    _weigh_bits(model, rows)
     return model
 
 
-def _weigh_bits(model: Model, sample: DataFrame) -> None:
-    """The margins' scale, each bit's weight (log-odds of its being right on the sample), and the
-    bound on the loss. The sample's margins are stored meanwhile."""
+def _weigh_bits(model: Model, labelled: DataFrame) -> None:
+    """The margins' scale, each bit's weight (log-odds of its being right on the rows), and the
+    bound on the loss. The rows' margins are stored meanwhile."""
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {x: i for i, x in enumerate(model.langs)}
         for batch in batches:
@@ -199,7 +192,7 @@ def _weigh_bits(model: Model, sample: DataFrame) -> None:
             found = [float(model.losses(model.scale * m).min()) for m in rows_of(batch)]
             yield pa.RecordBatch.from_arrays([pa.array([max(found, default=0.0)])], names=["loss"])
 
-    stored = settle(sample.mapInArrow(measure, "lang int, margins array<double>"), "margins")
+    stored = settle(labelled.mapInArrow(measure, "lang int, margins array<double>"), "margins")
     rows = (stored.mapInArrow(check, "bit long, good double, size double, n long").groupBy("bit")
             .agg(F.sum("good").alias("good"), F.sum("size").alias("size"), F.sum("n").alias("n")).orderBy("bit").toPandas())
     n = rows["n"].to_numpy(float)
