@@ -269,6 +269,37 @@ def _gradient(z: np.ndarray, target: np.ndarray) -> np.ndarray:
     return z
 
 
+#: Rows met at most so often in a batch are summed together, a vector of each at a time.
+SELDOM = 8
+
+
+def row_sums(rows: np.ndarray, grad: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of ``grad`` over each distinct value of ``rows`` (below ``n_rows``), in their order there, and
+    the values, those met most often first. It is the sum that ``reduceat`` gives, which is slow for
+    many short stretches."""
+    order = np.argsort(rows.astype(np.uint16) if n_rows <= 1 << 16 else rows, kind="stable")
+    ordered = rows[order]
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    met = np.diff(np.append(first, len(rows)))
+    by = np.argsort(-met, kind="stable")
+    first, met = first[by], met[by]
+    total = grad[order[first]]
+    often, twice = np.searchsorted(-met, [-SELDOM, -1]).tolist()
+    if often:
+        begins = np.cumsum(met[:often]) - met[:often]
+        places = np.arange(met[:often].sum()) + np.repeat(first[:often] - begins, met[:often])
+        total[:often] = np.add.reduceat(grad[order[places]], begins, axis=0)
+    if often < twice:
+        rest = grad[order[first[often:twice] + 1]]
+        for k in range(2, SELDOM):
+            end = int(np.searchsorted(-met, -k)) - often
+            if end <= 0:
+                break
+            rest[:end] += grad[order[first[often:often + end] + k]]
+        total[often:twice] += rest
+    return total, ordered[first]
+
+
 def start(found: Corpus, shape: Shape) -> Model:
     """The model of the corpus counts alone: no context weighs yet."""
     ranked = sorted(found.known.items(), key=lambda x: (-x[1], x[0]))
@@ -309,10 +340,7 @@ class Learner:
 
     def _step(self, w: np.ndarray, g2: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
         """Rows that a batch holds more than once get the sum of their gradients."""
-        order = np.argsort(rows, kind="stable")
-        ordered = rows[order]
-        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        total, at = np.add.reduceat(grad[order], first, axis=0), ordered[first]
+        total, at = row_sums(rows, grad, len(w))
         g2[at] += (total * total).mean(axis=1)
         w[at] -= (self.m.shape.rate / np.sqrt(g2[at]))[:, None] * total / math.sqrt(total.shape[1])
 

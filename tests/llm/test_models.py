@@ -207,6 +207,24 @@ def test_scores(docs):
     assert next(r for r in rows if r.doc_id == 1).score > next(r for r in rows if r.doc_id == 1).base_score
 
 
+def test_gradients_are_summed_without_short_stretches():
+    """Only rows met often are left to reduceat, which is slow for many short stretches; sums are its own
+    to the bit, whatever a row's number is held in."""
+    rng = np.random.default_rng(5)
+    rows = np.concatenate([np.arange(300), rng.integers(0, 90, 400), np.repeat([7, 299, 11], 50)])
+    rng.shuffle(rows)
+    grad = rng.normal(size=(len(rows), 6)).astype(np.float32)
+    order = np.argsort(rows, kind="stable")
+    at, first = np.unique(rows[order], return_index=True)
+    want = dict(zip(at.tolist(), np.add.reduceat(grad[order], first, axis=0), strict=True))
+    for n_rows in (300, 1 << 17):
+        got, of = maxent.row_sums(rows, grad, n_rows)
+        assert sorted(of.tolist()) == at.tolist()
+        assert all(np.array_equal(want[r], v) for r, v in zip(of.tolist(), got, strict=True))
+    got, of = maxent.row_sums(np.array([3]), grad[:1], 300)
+    assert of.tolist() == [3] and np.array_equal(got, grad[:1])
+
+
 def test_no_training_texts(docs):
     model, found, counts = maxent.fit(texts(docs()), SMALL)
     (r,) = maxent.score(texts(docs((1, "a b"))), model, found, counts).collect()
