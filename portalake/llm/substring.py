@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 
 from .common import settle, string_column
 
-#: What stands between two units.
-BETWEEN = {"clause": re.compile(r"(?<=[.!?,;:])[ \t]+|\s*\n\s*"), "line": re.compile(r"\s*\n\s*"),
+#: What stands between two units. Patterns begin with white space, as a search tries no other character then.
+BETWEEN = {"clause": re.compile(r"(?<=[.!?,;:])[ \t]+|\s*\n\s*"), "line": re.compile(r"\s(?:(?<=\n)|\s*\n)\s*"),
            "paragraph": re.compile(r"\s*\n[ \t]*\n\s*")}
 BETWEEN["passage"] = BETWEEN["line"]
 #: What stands between two sentences, or lines.
-SENTENCE = re.compile(r"(?<=[.!?])[ \t]+|\s*\n\s*")
+SENTENCE = re.compile(r"\s(?:(?<=[.!?][ \t])[ \t]*|(?:(?<=\n)|\s*\n)\s*)")
 SPACE = re.compile(r"\s*")
 LAST = 2**63 - 1
 #: A line of fewer characters is a repeat only if so many documents hold it.

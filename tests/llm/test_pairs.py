@@ -119,6 +119,17 @@ def test_random_components(llm):
 
 # --- substring -----------------------------------------------------------------------------
 
+def test_ends_of_lines_and_sentences_are_sought_at_white_space():
+    """A search that may only begin at white space skips all else; it finds what the plain patterns do."""
+    plain = {substring.SENTENCE: r"(?<=[.!?])[ \t]+|\s*\n\s*", substring.BETWEEN["line"]: r"\s*\n\s*"}
+    pick = random.Random(3)
+    texts = ["".join(pick.choice("a.!? \t\n\r\x0b\x1c　\x85,") for _ in range(pick.randint(0, 40))) for _ in range(3000)]
+    for pattern, form in plain.items():
+        assert pattern.pattern.startswith(r"\s(")
+        for t in texts:
+            assert [m.span() for m in pattern.finditer(t)] == [m.span() for m in re.finditer(form, t)], t
+
+
 def brute_dedup(rows, unit="clause", least=8):
     first = {}
     order = sorted(rows, key=lambda r: r[0])
