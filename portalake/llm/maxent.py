@@ -24,10 +24,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, string_column, words
+from .common import settle, words
 
 END = b""           # no word is empty
 SMOOTH = 0.1
@@ -65,6 +66,15 @@ def tokens(text: str) -> list[bytes]:
     return [*words(text), END]
 
 
+def token_lists(texts: pa.Array) -> pa.ListArray:
+    """``tokens`` of each text, made by Arrow: a blank after its last word leaves an empty token there,
+    the end."""
+    bare = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    none, blank = pa.scalar("", bare.type), pa.scalar(" ", bare.type)
+    ended = pc.if_else(pc.equal(bare, none), none, pc.binary_join_element_wise(bare, blank, none))
+    return pc.ascii_split_whitespace(ended).cast(pa.list_(pa.binary()))
+
+
 def tail_class(token: bytes, shape: Shape) -> int:
     return shape.head_classes + zlib.crc32(token[-2:]) % shape.tail_classes
 
@@ -100,10 +110,10 @@ def count_tokens(docs: DataFrame) -> DataFrame:
             sums.clear()
 
         for batch in batches:
-            for text in string_column(batch, "text"):
-                sums.update(tokens(text))
-                if len(sums) > 1_000_000:
-                    yield from out()
+            found = token_lists(batch.column("text")).flatten().value_counts()
+            sums.update(dict(zip(_values(found.field(0)), found.field(1).to_pylist(), strict=True)))
+            if len(sums) > 1_000_000:
+                yield from out()
         if sums:
             yield from out()
 
@@ -149,6 +159,20 @@ def corpus(counts: DataFrame, shape: Shape) -> Corpus:
     return Corpus(int(n.sum()), int(v.sum()), known, n, v)
 
 
+def _values(found: pa.BinaryArray) -> list[bytes]:
+    """``to_pylist`` of values without nulls, cut from one text."""
+    if not len(found):
+        return []
+    _, offsets, data = found.buffers()
+    ends = np.frombuffer(offsets, np.int32)[found.offset:found.offset + len(found) + 1].tolist()
+    whole = data.to_pybytes() if data else b""
+    return [whole[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def _sizes(texts: pa.ListArray) -> np.ndarray:
+    return texts.value_lengths().to_numpy().astype(np.int64)
+
+
 # ---- the model ------------------------------------------------------------------------------
 
 @dataclass
@@ -171,16 +195,18 @@ class Model:
         self.class_w += change[:cut].reshape(self.class_w.shape)
         self.word_w += change[cut:].reshape(self.word_w.shape)
 
-    def index(self, texts: list[list[bytes]]) -> Indexed:
-        found = list(set(chain.from_iterable(texts)))
-        number = dict(zip(found, range(len(found)), strict=True))
-        at = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64)
+    def index(self, texts: pa.ListArray | list[list[bytes]]) -> Indexed:
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.list_(pa.binary()))
+        # Arrow numbers the tokens faster than look-ups of each do.
+        numbered = texts.flatten().dictionary_encode()
+        found, at = _values(numbered.dictionary), numbered.indices.to_numpy().astype(np.int64)
         s = self.shape
         get = self.head.get
         head = np.fromiter([get(t, -1) for t in found], np.int64, len(found))
         mixed = np.fromiter(map(zlib.crc32, found), np.uint64, len(found)) + np.uint64(1)
         cls = np.where(head >= 0, head // s.class_size, tail_classes(found, s))
-        return Indexed(found, at, np.fromiter(map(len, texts), np.int64, len(texts)), head, cls, mixed)
+        return Indexed(found, at, _sizes(texts), head, cls, mixed)
 
     def contexts(self, mixed: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """A hash for each token and feature: token before, two before, both. Before the first
@@ -199,9 +225,9 @@ class Model:
     def class_scores(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores of all classes for each token, and the weight rows used."""
         rows = self._rows(hashes, self.shape.class_rows)
-        z = self.class_w[rows[0]]
+        z = self.class_w.take(rows[0], axis=0)
         for r in rows[1:]:
-            z += self.class_w[r]
+            z += self.class_w.take(r, axis=0)
         z += self.class_bias
         return z, rows
 
@@ -211,9 +237,9 @@ class Model:
         s = self.shape
         blocks = self.word_w.reshape(-1, s.class_size)
         rows = self._rows(hashes, s.word_rows) * s.head_classes + cls
-        z = blocks[rows[0]]
+        z = blocks.take(rows[0], axis=0)
         for r in rows[1:]:
-            z += blocks[r]
+            z += blocks.take(r, axis=0)
         z += self.word_bias[cls]
         return z, rows
 
@@ -344,7 +370,7 @@ class Learner:
         g2[at] += (total * total).mean(axis=1)
         w[at] -= (self.m.shape.rate / np.sqrt(g2[at]))[:, None] * total / math.sqrt(total.shape[1])
 
-    def learn(self, texts: list[list[bytes]]) -> None:
+    def learn(self, texts: pa.ListArray) -> None:
         m, s = self.m, self.m.shape
         i = m.index(texts)
         head, cls = i.head[i.at], i.cls[i.at]
@@ -398,14 +424,15 @@ def train(docs: DataFrame, model: Model, doc_id: str = "doc_id") -> Model:
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             learner, held, size = Learner(sent.value), [], 0
             for batch in batches:
-                for text in string_column(batch, "text"):
-                    held.append(tokens(text))
-                    size += len(held[-1])
+                texts, at = token_lists(batch.column("text")), 0
+                for i, n in enumerate(_sizes(texts).tolist(), 1):
+                    size += n
                     if size >= 32 * s.batch:
-                        learner.learn(held)
-                        held, size = [], 0
-            if held:
-                learner.learn(held)
+                        learner.learn(pa.concat_arrays([*held, texts.slice(at, i - at)]))
+                        held, size, at = [], 0, i
+                held.append(texts.slice(at))
+            if size:
+                learner.learn(pa.concat_arrays(held))
             if learner.n:
                 v = learner.change() * np.float32(learner.n)
                 for b in range(blocks):
@@ -450,17 +477,17 @@ def score(docs: DataFrame, model: Model, found: Corpus, counts: DataFrame) -> Da
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
-            texts = [tokens(t) for t in string_column(batch, "text")]
-            at = 0
+            texts = token_lists(batch.column("text"))
+            sizes, at = _sizes(texts).tolist(), 0
             while at < len(texts):
                 end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= 32 * m.shape.batch):
-                    size += len(texts[end])
+                while end < len(texts) and (end == at or size + sizes[end] <= 32 * m.shape.batch):
+                    size += sizes[end]
                     end += 1
-                yield of_some(m, batch.slice(at, end - at), texts[at:end])
+                yield of_some(m, batch.slice(at, end - at), texts.slice(at, end - at))
                 at = end
 
-    def of_some(m: Model, batch: pa.RecordBatch, texts: list[list[bytes]]) -> pa.RecordBatch:
+    def of_some(m: Model, batch: pa.RecordBatch, texts: pa.ListArray) -> pa.RecordBatch:
         x = m.index(texts)
         begins = np.cumsum(x.sizes) - x.sizes
         c = np.fromiter((m.known.get(t, -1) for t in x.found), np.int64, len(x.found))

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,6 +226,23 @@ def test_gradients_are_summed_without_short_stretches():
     assert of.tolist() == [3] and np.array_equal(got, grad[:1])
 
 
+def test_tokens_by_arrow_are_the_same():
+    """Texts are split and numbered by Arrow, not token by token: blanks of other scripts and control
+    characters stay in words, and only A-Z is lower-cased."""
+    marks = [" ", "\t", "\n", "\x0b", "\f", "\r", "A", "z", "É", "\x85", "\xa0", "\u3000", "\u2028", "\x1c", "\x1f", "\0", "한"]
+    rng = np.random.default_rng(3)
+    odd = ["", " ", "\n\t", " a", "a ", "A", *("".join(marks[k] for k in rng.integers(0, len(marks), n)) for n in rng.integers(0, 12, 2000))]
+    want = [maxent.tokens(t) for t in odd]
+    for kind in (pa.string(), pa.large_string()):
+        assert maxent.token_lists(pa.array(odd, kind)).to_pylist() == want
+    model = maxent.start(maxent.Corpus(4, 3, {b"a": 2, b"": 1, b"z": 1}, np.array([4, 0, 0]), np.array([3, 0, 0])), SMALL)
+    for part in (slice(0, None), slice(700, 900), slice(0, 0)):
+        x, y = model.index(maxent.token_lists(pa.array(odd)[part])), model.index(want[part])
+        flat = [t for ts in want[part] for t in ts]
+        assert [x.found[i] for i in x.at] == [y.found[i] for i in y.at] == flat and len(set(x.found)) == len(x.found)
+        assert x.sizes.tolist() == y.sizes.tolist() == [len(ts) for ts in want[part]]
+
+
 def test_no_training_texts(docs):
     model, found, counts = maxent.fit(texts(docs()), SMALL)
     (r,) = maxent.score(texts(docs((1, "a b"))), model, found, counts).collect()
