@@ -11,9 +11,10 @@ from portalake.functions.parsers import BY_KIND, out_of_range, perhaps_large
 from portalake.schema import Field, Table
 
 
-def _source(field: Field, table: Table, raw: Column) -> Column:
+def tidied(field: Field, table: Table, raw: Column) -> Column:
+    """The tidied text of a token; one that is derived comes out tidy."""
     derive = table.derived.get(field.token)
-    return derive(raw) if derive else raw[field.token]
+    return derive(raw) if derive else BY_KIND[field.kind].tidy(raw[field.token])
 
 
 #: Columns that one generated method types at a speed the JVM will compile.
@@ -34,8 +35,7 @@ def _typed(field: Field, apart: bool = False) -> Column:
 
 def _projected(rows: DataFrame, table: Table, keep: tuple[str, ...], raw: str) -> DataFrame:
     """Kept and typed columns, and the tidied text of whole numbers beside them."""
-    tidy = [BY_KIND[f.kind].tidy(_source(f, table, F.col(raw))).alias(f"_{f.column}")
-            for f in table.fields]
+    tidy = [tidied(f, table, F.col(raw)).alias(f"_{f.column}") for f in table.fields]
     text = [F.col(f"_{f.column}") for f in _whole_numbers(table)]
     # One such column takes its whole projection out; the last is the least likely to be filtered by.
     wide = len(table.fields) > NARROW

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portalake.functions.parsers import BY_KIND
+from portalake.operators.clean import tidied
 from portalake.schema import Table
 
 
@@ -64,9 +65,7 @@ def of_captures(table: Table, request: Request, captured: tuple[str | None, str
 
 def _typed(table: Table, column: str, row: Column) -> Column:
     f = next(f for f in table.fields if f.column == column)
-    derive = table.derived.get(f.token)
-    kind = BY_KIND[f.kind]
-    return kind.read(kind.tidy(derive(row) if derive else row[f.token]))
+    return BY_KIND[f.kind].read(tidied(f, table, row))
 
 
 def of_rows(table: Table, request: Request, row: Column) -> Column | None:

@@ -80,3 +80,18 @@ def test_redact_all_spellings(spark):
 def test_strip_matches_python(spark):
     for ch in map(chr, list(range(0x00, 0x21)) + [0x85, 0xa0, 0x1680, 0x2003, 0x2028, 0x202f, 0x205f, 0x3000, 0x200b]):
         assert _one(spark, ch + "x" + ch, strip) == (ch + "x" + ch).strip(), hex(ord(ch))
+
+
+@pytest.mark.parametrize("raw", ["서울", "　서울　", "서울\u2003", "a\x85", "\xa0é", "é ", "\x00a", "a\x7f", "、x。", "\u2027x", " ", "", "😀 ", "~!"])
+def test_strip_of_any_script(spark, raw):
+    assert _one(spark, raw, strip) == raw.strip()
+
+
+@pytest.mark.parametrize("parts,want", [
+    (("+2024", "+03", "007"), "2024-03-07"), (("02024", "3", "7"), "2024-03-07"), (("2024\t", "\u30003", "7\n"), "2024-03-07"),
+    ((" 2024", "12 ", " 31"), "2024-12-31"), (("2024", "2\x1c", "\x1d29"), "2024-02-29"), (("2024", "+3", "7"), None),
+    (("2024|3", None, "7"), "2024-03-07"), (("2024", "1", "2\x00"), None), (("２０２４", "3", "7"), None),
+    (("2024", "0", "7"), None), ((None, None, None), None)])
+def test_deal_date_in_any_spelling(spark, parts, want):
+    rows = spark.createDataFrame([({t: v for t, v in zip(("dealYear", "dealMonth", "dealDay"), parts) if v is not None},)], "raw map<string,string>")
+    assert rows.select(parsers.date_ymd(parsers.deal_date(F.col("raw")))).first()[0] == want

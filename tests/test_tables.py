@@ -92,3 +92,21 @@ def test_wide_tables_are_typed_outside_whole_stage_code(spark):
         plan = clean(spark.createDataFrame([({"a": "b"},)], "raw map<string,string>"), table(name))._jdf.queryExecution().executedPlan().toString()
         typed = [line for line in plan.splitlines() if "Project" in line][0]
         assert ("*(" not in typed.split("Project")[0]) == apart
+
+
+def test_patterns_of_a_wide_table_are_few(spark):
+    """Texts are trimmed without a pattern, and the contract date, which the filter names again, by one."""
+    rows = spark.createDataFrame([({"a": "b"},)], "raw map<string,string>")
+    plan = clean(rows, table("realestate.apt_trade_detail"))._jdf.queryExecution().optimizedPlan()
+    texts = [e.toString() for e in _expressions(plan) if "raw" in e.toString() and " AS _" in e.toString()]
+    assert len(texts) == 30
+    assert [t.count("RLIKE") for t in texts if "dealYear" not in t] == [0] * 29
+    assert [t.count("RLIKE") for t in texts if "dealYear" in t] == [1]
+
+
+def _expressions(plan):
+    nodes = [plan]
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        yield from (node.expressions().apply(i) for i in range(node.expressions().size()))
