@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ BUCKET_BITS = 16
 SIZES = (1, 2, 3, 4)
 #: A little less than the loss of a text without any n-gram that was learned.
 NOTHING = 0.99
+#: Languages whose counts a task holds at once.
+HELD = 64
 _MULT = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)
 
 
@@ -122,50 +125,80 @@ def _of_frequent(labelled: DataFrame, languages: int) -> DataFrame:
     return labelled.where(F.col("lang").isin([r["lang"] for r in counts.collect()]))
 
 
-def fit(labelled: DataFrame, smoothing: float = 0.5, languages: int = 200) -> Model:
-    """Learns from ``doc_id``, ``text`` and ``lang`` of the rows given; rows with a null language
-    are left out, and so are languages beyond the ``languages`` most frequent (a column of very
-    many values is no column of languages).
+def fit(labelled: DataFrame, smoothing: float = 0.5, languages: int | None = None) -> Model:
+    """Learns from ``doc_id``, ``text`` and ``lang`` of the rows given, every language; rows with a null
+    one are left out. ``languages`` keeps to that many of the most frequent ones, for a column of very
+    many values that is no column of languages.
 
-    The classifier, its bits' weights and the bound are fitted on all these rows, whole texts. Spark
-    adds up n-gram counts by language and bucket; the driver gets 2^16 numbers for each language.
-    With no labelled rows every prediction is ``und``.
+    The classifier, its bits' weights and the bound are fitted on all these rows, whole texts; those
+    without a letter, which no prediction weighs, have no part. Spark adds up n-gram counts by language
+    and bucket and weighs each bucket's; the driver gets a number and a codeword for each language and
+    2^16 weights for each bit. With no labelled rows every prediction is ``und``.
     """
-    rows = labelled.where(F.col("lang").isNotNull())
-    rows = _of_frequent(rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang")), languages)
+    rows = labelled.where(F.col("lang").isNotNull()).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    if languages is not None:
+        rows = _of_frequent(rows, languages)
+
+    def cells(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lang, total in sums.items():
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(total[at])],
+                                             names=["lang", "bucket", "n"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(string_column(batch, "text"), string_column(batch, "lang"), strict=True):
                 if LETTER.search(text):
+                    if lang not in sums and len(sums) >= HELD:
+                        yield from cells(sums)
+                        sums.clear()
                     f = features(text)
                     # A long text counts as much as one of about 300 n-grams, no more.
                     mine = sums.setdefault(lang, np.zeros(1 << BUCKET_BITS))
                     mine += np.bincount(f, minlength=1 << BUCKET_BITS) * min(1.0, 300 / len(f))
-        for lang, total in sums.items():
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(total[at])],
-                                             names=["lang", "bucket", "n"])
+        yield from cells(sums)
 
-    sums = (rows.mapInArrow(count, "lang string, bucket long, n double")
-            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
-    langs = sorted(sums["lang"].unique())
+    counts = settle(rows.mapInArrow(count, "lang string, bucket long, n double")
+                    .groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "grams")
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted(totals)
     if not langs:
+        session.discard(counts)
         return Model([], codewords(0), np.zeros((1, 1)), np.ones(1))
-    counts = np.zeros((len(langs), 1 << BUCKET_BITS))
-    counts[sums["lang"].map({x: i for i, x in enumerate(langs)}), sums["bucket"]] = sums["n"]
-    share = counts / counts.sum(axis=1, keepdims=True)
     codes = codewords(len(langs))
-    # Each language weighs the same in a bit, whatever its number of texts.
-    floor = smoothing / counts.sum(axis=1).mean()
-    weights = np.stack([np.log(share[c > 0].mean(axis=0) + floor) - np.log(share[c < 0].mean(axis=0) + floor)
-                        if (c > 0).any() and (c < 0).any() else np.zeros(1 << BUCKET_BITS) for c in codes.T], axis=1)
-    model = Model(langs, codes, weights.astype(np.float32), np.ones(codes.shape[1]))
+    model = Model(langs, codes, _weights(counts, np.array([totals[x] for x in langs]), langs, codes, smoothing), np.ones(codes.shape[1]))
+    session.discard(counts)
     _weigh_bits(model, rows)
     return model
 
 
+def _weights(counts: DataFrame, totals: np.ndarray, langs: list[str], codes: np.ndarray, smoothing: float) -> np.ndarray:
+    """Log-odds of each bucket for each bit, from its share of each language's n-grams. Each language
+    weighs the same in a bit, whatever its number of texts."""
+    floor = smoothing / totals.mean()
+    sides = [(codes > 0).astype(float), (codes < 0).astype(float)]
+    sides = [side / np.maximum(1, side.sum(axis=0)) for side in sides]
+    parted = (codes > 0).any(axis=0) & (codes < 0).any(axis=0)
+
+    def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(langs)
+        for batch in batches:
+            found = batch.column(1).flatten()
+            at = pc.index_in(found.field("lang"), value_set=known).to_numpy()
+            share = found.field("n").to_numpy() / totals[at]
+            ends = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy())
+            weights = [np.where(parted, np.log(share[a:b] @ sides[0][at[a:b]] + floor) - np.log(share[a:b] @ sides[1][at[a:b]] + floor), 0.0)
+                       for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weights, pa.list_(pa.float64()))], names=["bucket", "weights"])
+
+    rows = (counts.groupBy("bucket").agg(F.collect_list(F.struct("lang", "n")).alias("cells"))
+            .mapInArrow(weigh, "bucket long, weights array<double>").toArrow())
+    weights = np.zeros((1 << BUCKET_BITS, codes.shape[1]), np.float32)
+    weights[rows["bucket"].to_numpy()] = rows["weights"].combine_chunks().flatten().to_numpy().reshape(-1, codes.shape[1])
+    return weights
+
+
 def _weigh_bits(model: Model, labelled: DataFrame) -> None:
     """The margins' scale, each bit's weight (log-odds of its being right on the rows), and the
     bound on the loss. The rows' margins are stored meanwhile."""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from portalake import session
-from portalake.llm import jaccard
+from portalake.llm import jaccard, langid
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,6 +48,15 @@ def test_rows_without_labels_or_counts_and_repeated_ids(llm, docs, tmp_path):
     assert [r.round_trip for r in C.encoding(llm, cut, str(tmp_path)).collect()] == [True, True]
 
 
+def test_documents_in_any_number_of_languages_stay(llm, docs, tmp_path):
+    """Rare languages are learned beside two hundred others, so that their documents are not taken for noise."""
+    many = [(2 * i + k, f"{chr(97 + i % 20)}{chr(98 + i // 20)}{chr(97 + i % 7)} " * 5, f"m{i:03}") for i in range(200) for k in range(2)]
+    rare = [(1000 + i, f"{chr(0x4e00 + 301 * i)}{chr(0x5e00 + 307 * i)} " * 5, f"r{i}") for i in range(10)]
+    df = docs(*many, *rare)
+    assert len(langid.fit(df.select("doc_id", "text", "lang")).langs) == 210
+    assert sorted(r.doc_id for r in C.language(llm, df, str(tmp_path)).collect()) == sorted(r[0] for r in many + rare)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not here")
 def test_run(llm, tmp_path):
     docs = llm.read.parquet(SF + "/documents.parquet")
